@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup
+from . import mixing, near_dup, quality
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,16 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op2_rule_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
+
+
+@query("op5_target_mix")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source")).drop("source")
+
+
 @query("op7_setsketch_near_dup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
