@@ -31,6 +31,7 @@ def materialise(df: DataFrame, compression: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tideline-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of what has been written
     return spark.read.schema(df.schema).parquet(path)
 
 

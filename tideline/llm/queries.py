@@ -5,10 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, near_dup, quality
+from . import line_dedup, mixing, near_dup, packing, quality
 from .common import documents
 
+#: Where the public tokenizer files are; None takes the installed package's own folder.
+TOKENIZERS: str | None = None
+
+
+def tokenizer(name: str) -> str:
+    if TOKENIZERS:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -38,3 +51,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_setsketch_near_dup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op8_line_edit_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_repeated", "n_near", F.length("text").cast("long").alias("kept_chars"), F.crc32(F.col("text").cast("binary")).alias("kept_crc32"))
+
+
+@query("op9_certified_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir, "doc_id", "text"), tokenizer("byte_bpe_50k.json"))
