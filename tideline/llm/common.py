@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,3 +152,48 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return links.groupBy("hi").agg(F.min("lo").alias("component_id")).withColumnRenamed("hi", "id")
+
+
+# --- groups without a call for each ------------------------------------------
+
+
+def by_groups(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
+    """run(key, rows) for each group of df, where groups are many and small.
+
+    Groups are dealt by hash and sorted, and a task goes through its groups batch by batch,
+    which costs a fraction of a grouped-map call for each group.
+    """
+
+    def through(batches):
+        rest = None
+        for b in batches:
+            if rest is not None and len(rest):
+                b = pd.concat([rest, b], ignore_index=True)
+            if not len(b):
+                continue
+            edge = np.zeros(len(b), dtype=bool)
+            for k in keys:
+                v = b[k].to_numpy()
+                edge[1:] |= v[1:] != v[:-1]
+            starts = np.concatenate(([0], np.flatnonzero(edge)))
+            for i, j in zip(starts[:-1], starts[1:], strict=True):
+                yield from one(b.iloc[i:j])
+            rest = b.iloc[starts[-1] :]
+        if rest is not None and len(rest):
+            yield from one(rest)
+
+    def one(rows):
+        out = run(tuple(rows[k].iloc[0] for k in keys), rows)
+        if out is not None and len(out):
+            yield out
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(through, schema)
+
+
+#: Tables of numbers with up to so many rows (some MB) are broadcast; above, joins shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, marked for broadcast if it has at most BROADCAST_ROWS rows. df must be materialised and narrow."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialise, mix64, shingles, word_hashes
+from .common import by_groups, components, materialise, mix64, shingles, small, word_hashes
 
 #: Sketch shape: a pair at the threshold 0.75 meets in a band with probability 1 - (1 - 0.75**3)**20 > 0.9999.
 BANDS, ROWS = 20, 3
@@ -31,27 +31,33 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.001, 20.0, 65534
 #: Estimates under this and pairs with fewer equal registers are not confirmed (over four standard deviations below 0.75).
 LEAST_ESTIMATE, LEAST_EQUAL = 0.55, REGISTERS // 2
+#: Members of unsettled buckets get a finer sketch, of low register bytes; estimates from it under
+#: 0.69 are over four standard deviations below 0.75.
+FINE, LEAST_FINE = 1024, 0.69
 #: Members of a bucket, or of a star, that one task compares at once.
 BLOCK = 512
 STAR = 64
 _SLICE = 1 << 20
 
-_SEEDS = mix64(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SEEDS = mix64(np.arange(1, REGISTERS + FINE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _ODD = mix64(_SEEDS) | np.uint64(1)
 
 
-def registers(sets: list[np.ndarray]) -> np.ndarray:
-    """SetSketch registers (sets x REGISTERS, uint16) of non-empty hash sets."""
-    out = np.empty((len(sets), REGISTERS), dtype=np.uint64)
+def registers(sets: list[np.ndarray], first: int = 0, count: int = REGISTERS) -> np.ndarray:
+    """SetSketch registers (sets x count, uint16) of non-empty hash sets, from register number first."""
+    out = np.empty((len(sets), count), dtype=np.uint64)
     lengths = np.array([len(s) for s in sets])
     at = 0
     while at < len(sets):
         total = np.cumsum(lengths[at:])
-        to = at + max(1, int(np.searchsorted(total, 32_768, side="right")))
+        to = at + max(1, int(np.searchsorted(total, 16_384, side="right")))
         x = np.concatenate(sets[at:to])
         starts = np.concatenate(([0], total[: to - at - 1]))
-        for j in range(REGISTERS):
-            out[at:to, j] = np.minimum.reduceat((x ^ _SEEDS[j]) * _ODD[j], starts)
+        h = np.empty_like(x)
+        for j in range(count):
+            np.bitwise_xor(x, _SEEDS[first + j], out=h)
+            np.multiply(h, _ODD[first + j], out=h)
+            out[at:to, j] = np.minimum.reduceat(h, starts)
         at = to
     u = ((out >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
     k = np.floor(1.0 - np.log(-np.log1p(-u) / RATE) / np.log(BASE))
@@ -138,44 +144,64 @@ def _filter(threshold: float):
     return run
 
 
+def _fine(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(word_hashes(np.frombuffer(t.as_buffer(), dtype=np.uint8)), words) for t in b.column(1).cast(pa.binary())]
+            rows = registers(sets, REGISTERS, FINE).astype(np.uint8) if sets else []
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], names=["id", "fine"])
+
+    return run
+
+
 def _block_pairs(threshold: float):
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        left = group[group.block == key[1]]
-        right = group[group.block == key[2]]
-        if len(left) and len(right):
-            ra, rb = _unpack(left.regs), _unpack(right.regs)
-            la, lb = left.label.to_numpy(), right.label.to_numpy()
-            ia, ib, na, nb = left.id.to_numpy(), right.id.to_numpy(), left.n_shingles.to_numpy(), right.n_shingles.to_numpy()
-            for i in range(len(left)):
-                at = np.flatnonzero((lb != la[i]) & (ib > ia[i] if key[1] == key[2] else ib != ia[i]))
-                if len(at):
-                    at = at[_likely(np.broadcast_to(ra[i], (len(at), REGISTERS)), rb[at], np.full(len(at), na[i]), nb[at], threshold)]
-                    out.append(np.stack((np.minimum(ia[i], ib[at]), np.maximum(ia[i], ib[at])), 1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), dtype=np.int64)
-        return pd.DataFrame({"a": pairs[:, 1], "b": pairs[:, 0]})
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame | None:
+        left, right = group[group.block == key[1]], group[group.block == key[2]]
+        if not len(left) or not len(right):
+            return None
+        ia, ib = left.id.to_numpy(), right.id.to_numpy()
+        na, nb = left.n_shingles.to_numpy(), right.n_shingles.to_numpy()
+        open_ = (left.label.to_numpy()[:, None] != right.label.to_numpy()) & (np.minimum.outer(na, nb) >= threshold * np.maximum.outer(na, nb))
+        if key[1] == key[2]:
+            open_ &= ia[:, None] < ib
+        i, j = np.nonzero(open_)
+        if not len(i):
+            return None
+        fa, fb = (np.frombuffer(b"".join(x.fine), dtype=np.uint8).reshape(len(x), FINE) for x in (left, right))
+        ra, rb, out = _unpack(left.regs), _unpack(right.regs), []
+        for at in range(0, len(i), 4096):
+            p, q = i[at : at + 4096], j[at : at + 4096]
+            ok = _likely(ra[p], rb[q], na[p], nb[q], threshold)
+            p, q = p[ok], q[ok]
+            same = (fa[p] == fb[q]).mean(1)
+            ok = (same - 1 / 256) / (1 - 1 / 256) >= LEAST_FINE
+            out.append(np.stack((ia[p[ok]], ib[q[ok]])))
+        pairs = np.concatenate(out, axis=1)
+        return pd.DataFrame({"a": pairs.max(0), "b": pairs.min(0)})
 
     return run
 
 
 def _confirm(words: int, percent: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        centre = group.g.iloc[0]
-        mine = group.loc[group.id == centre, "text"]
-        out = []
-        if len(mine):
-            c = shingles(word_hashes(np.frombuffer(mine.iloc[0].encode(), dtype=np.uint8)), words)
-            for i, text in zip(group.id, group.text, strict=True):
-                if i != centre:
-                    s = shingles(word_hashes(np.frombuffer(text.encode(), dtype=np.uint8)), words)
-                    both = len(np.intersect1d(c, s, assume_unique=True))
-                    if 100 * both >= percent * (len(c) + len(s) - both):
-                        out.append(i)
-        return pd.DataFrame({"a": np.array(out, dtype=np.int64), "b": np.full(len(out), centre, dtype=np.int64)})
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame | None:
+        texts = dict(zip(group.id, group.text, strict=True))
+        if key[0] not in texts:
+            return None
+        out, c = [], _set(texts.pop(key[0]), words)
+        for i, text in texts.items():
+            s = _set(text, words)
+            both = len(np.intersect1d(c, s, assume_unique=True))
+            if 100 * both >= percent * (len(c) + len(s) - both):
+                out.append(i)
+        return pd.DataFrame({"a": np.array(out, dtype=np.int64), "b": np.full(len(out), key[0], dtype=np.int64)})
 
     return run
 
 
+def _set(text: str, words: int) -> np.ndarray:
+    return shingles(word_hashes(np.frombuffer(text.encode(), dtype=np.uint8)), words)
+
+
 def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough.
 
@@ -185,8 +211,9 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / STAR).alias("parts"))
     salted = pairs.join(parts, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("parts")))
     need = salted.select(F.col("a").alias("id"), F.col("b").alias("g"), "salt").unionByName(salted.select(F.col("b").alias("id"), F.col("b").alias("g"), "salt").distinct())
+    need = small(materialise(need))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null and text is not null")
-    return texts.join(need, "id").groupBy("g", "salt").applyInPandas(_confirm(words, percent), "a long, b long")
+    return by_groups(texts.join(need, "id"), ["g", "salt"], _confirm(words, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
@@ -219,13 +246,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     # buckets whose members are not yet one component
     open_entries = entries.join(hub, "key").select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("label"))
     open_keys = open_entries.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n")).where("x < y")
-    members = (
-        open_entries.join(open_keys.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
-        .join(nodes.select("id", "regs", "n_shingles"), "id")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    members = materialise(
+        open_entries.join(open_keys.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     )
-    paired = members.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    more = paired.groupBy("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).applyInPandas(_block_pairs(threshold), "a long, b long")
+    ids = small(materialise(members.select("id").distinct()))
+    fine = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id").mapInArrow(_fine(words), "id long, fine binary")
+    fine = materialise(fine.groupBy("id").agg(F.first("fine").alias("fine")).join(nodes.select("id", "regs", "n_shingles"), "id"))
+    paired = members.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    more = by_groups(paired.drop("other", "blocks").join(fine, "id"), ["key", "i", "j"], _block_pairs(threshold), "a long, b long")
     more = materialise(more.distinct().join(tested, ["a", "b"], "left_anti"))
     if more.limit(1).count():
         edges = edges.unionByName(materialise(confirm(docs, more, words, percent)))
@@ -239,5 +267,5 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     """docs without the documents that are near-duplicates of one with a smaller doc_id; columns as given."""
-    found = near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias("__dropped")).distinct()
+    found = small(materialise(near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias("__dropped")).distinct()))
     return docs.join(found, docs["doc_id"].cast("long") == found["__dropped"], "left_anti")
