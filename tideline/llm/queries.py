@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dup, packing, quality
+from . import line_dedup, mixing, near_dup, packing, quality, token_count
 from .common import documents
 
 #: Where the public tokenizer files are; None takes the installed package's own folder.
@@ -62,3 +62,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_certified_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir, "doc_id", "text"), tokenizer("byte_bpe_50k.json"))
+
+
+@query("op10_transducer_tokens")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(documents(spark, sf_dir, "doc_id", "text"), tokenizer("word_bpe_49k.json"))
