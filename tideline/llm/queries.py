@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dup, packing, quality, token_count
+from . import line_dedup, lm_score, mixing, near_dup, packing, quality, token_count
 from .common import documents
 
 #: Where the public tokenizer files are; None takes the installed package's own folder.
@@ -43,6 +43,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
 
 
+@query("op3_context_mixing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(documents(spark, sf_dir, "doc_id", "text"))
+
+
 @query("op5_target_mix")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source")).drop("source")
