@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, lm_score, mixing, near_dup, packing, quality, token_count
+from . import embed_dup, hamming, line_dedup, lm_score, mixing, near_dup, packing, quality, token_count
 from .common import documents
 
 #: Where the public tokenizer files are; None takes the installed package's own folder.
@@ -38,6 +38,31 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_pq_near_dup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
+_CODE = " | ".join(f"(CASE WHEN embedding[{i + 1}] > 0 THEN (1::UBIGINT << {i}) ELSE 0::UBIGINT END)" for i in range(64))
+
+
+@query(
+    "op4_multi_index_hamming",
+    f"""
+    WITH c AS (SELECT vec_id, {_CODE} AS code FROM embeddings),
+    d AS (
+        SELECT q.vec_id AS query_id, b.vec_id AS id, bit_count(xor(q.code, b.code))::BIGINT AS distance
+        FROM c q JOIN c b ON q.vec_id % 50 = 0 AND q.vec_id <> b.vec_id
+    )
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, id)::BIGINT AS rank, id, distance
+    FROM d QUALIFY rank <= 10
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), hamming.sign_code("embedding").alias("code"))
+    return hamming.top_k(codes, codes.where("id % 50 = 0"))
+
+
 @query("op2_rule_quality")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"))
