@@ -40,8 +40,22 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows and bytes of a batch that goes to Python: texts are long, and a worker holds a few batches at a time.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df, after making sure that its session hands Python batches of bounded size."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key).lower().rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    df = bounded(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return df.select(*columns) if columns else df
 
 
@@ -187,7 +201,7 @@ def by_groups(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
         if out is not None and len(out):
             yield out
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(through, schema)
+    return bounded(df).repartition(*keys).sortWithinPartitions(*keys).mapInPandas(through, schema)
 
 
 #: Tables of numbers with up to so many rows (some MB) are broadcast; above, joins shuffle.

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_groups, components, materialise, mix64, shingles, small, word_hashes
+from .common import bounded, by_groups, components, materialise, mix64, shingles, small, word_hashes
 
 #: Sketch shape: a pair at the threshold 0.75 meets in a band with probability 1 - (1 - 0.75**3)**20 > 0.9999.
 BANDS, ROWS = 20, 3
@@ -35,7 +35,7 @@ LEAST_ESTIMATE, LEAST_EQUAL = 0.55, REGISTERS // 2
 #: 0.69 are over four standard deviations below 0.75.
 FINE, LEAST_FINE = 1024, 0.69
 #: Members of a bucket, or of a star, that one task compares at once.
-BLOCK = 512
+BLOCK = 2048
 STAR = 64
 _SLICE = 1 << 20
 
@@ -127,7 +127,7 @@ def sketch(docs: DataFrame, words: int = 5) -> DataFrame:
 
     The digest is of the lower-cased word sequence, regs are REGISTERS big-endian 16-bit registers.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch(words), "doc_id long, digest binary, n_shingles long, regs binary")
+    return bounded(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch(words), "doc_id long, digest binary, n_shingles long, regs binary")
 
 
 def _unpack(regs: pd.Series) -> np.ndarray:
@@ -171,6 +171,9 @@ def _block_pairs(threshold: float):
         ra, rb, out = _unpack(left.regs), _unpack(right.regs), []
         for at in range(0, len(i), 4096):
             p, q = i[at : at + 4096], j[at : at + 4096]
+            # a pair that meets in several bands is taken in the first of them
+            first = (ra[p] == rb[q]).reshape(len(p), BANDS, ROWS).all(2).argmax(1) == group.band.iloc[0]
+            p, q = p[first], q[first]
             ok = _likely(ra[p], rb[q], na[p], nb[q], threshold)
             p, q = p[ok], q[ok]
             same = (fa[p] == fb[q]).mean(1)
@@ -234,7 +237,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
         rows.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"))
     )
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
-    entries = nodes.select("id", "regs", band).select("id", F.xxhash64("band", F.expr(f"substring(regs, 1 + band * {2 * ROWS}, {2 * ROWS})")).alias("key"))
+    entries = nodes.select("id", "regs", band).select("id", "band", F.xxhash64("band", F.expr(f"substring(regs, 1 + band * {2 * ROWS}, {2 * ROWS})")).alias("key"))
 
     hub = entries.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b < last").select("key", "b")
     star = entries.join(hub, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
@@ -244,7 +247,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     labels = components(edges)
 
     # buckets whose members are not yet one component
-    open_entries = entries.join(hub, "key").select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("label"))
+    open_entries = entries.join(hub, "key").select("key", "band", "id").join(labels, "id", "left").select("key", "band", "id", F.coalesce("component_id", "id").alias("label"))
     open_keys = open_entries.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n")).where("x < y")
     members = materialise(
         open_entries.join(open_keys.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
