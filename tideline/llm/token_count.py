@@ -25,9 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded
+
 LIMIT = 2048
 #: Characters of a chunk, lanes that run at once, and states after which tables are begun anew.
-CHUNK, LANES, MOST_STATES = 2048, 8192, 250_000
+CHUNK, LANES, MOST_STATES = 2048, 2048, 200_000
+#: Rows and columns by which tables grow, and texts' characters counted together.
+ROWS, COLUMNS, TOGETHER = 32_768, 16, 1 << 22
+
+#: Last tokens are kept as sets of fitting tokens where at most so many tokens may begin.
+FEW = 6
+NONE = ("", 0)
 
 OTHER, LETTER, NUMBER, GAP = 0, 1, 2, 3
 #: Endings that the tokenizer's pattern splits off after an apostrophe that begins a word.
@@ -53,6 +61,11 @@ class Transducer:
         self.tokens = {t for t in self.vocab if t not in added}
         self.prefixes = {t[:i] for t in self.tokens if not t.endswith(self.end) for i in range(1, len(t) + 1)}
         self.prefixes |= {t[: -len(self.end)][:i] for t in self.tokens if t.endswith(self.end) for i in range(1, len(t) - len(self.end) + 1)}
+        self.beginning: dict[str, list[str]] = {}
+        for t in self.tokens:
+            body = t.removesuffix(self.end) if t != self.end else t
+            for i in range(1, len(body) + 1):
+                self.beginning.setdefault(body[:i], []).append(t)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.classes = np.full(0x110000, 255, dtype=np.uint8)
         self.reset()
@@ -76,6 +89,8 @@ class Transducer:
 
     def fits(self, a: str | None, b: str) -> bool:
         """Whether token b may follow token a (None: the word begins)."""
+        if isinstance(a, frozenset):
+            return b in a
         if a is None:
             return self.merge(self._symbols(b)) == [b]
         key = (a, b)
@@ -109,9 +124,44 @@ class Transducer:
         history = ((token, 0), *((t, c - count) for t, c in last))
         while grown and grown not in self.prefixes:
             grown = grown[1:]
-        # a place where no token can begin any more is forgotten, so that more words share a state
-        n = len(grown)
-        return (grown, tuple(h if k == 0 or grown[n - k :] in self.prefixes else ("", 0) for k, h in enumerate(history[: n + 1]))), count
+        return (grown, history[: len(grown) + 1]), count
+
+    def settle(self, state: tuple, pending: str) -> tuple:
+        """The state without what can't matter once pending follows: places where no token can begin any more.
+
+        More words share a state so. A last token is kept as which of the tokens that
+        may yet begin there fit it, where they are few.
+        """
+        suffix, last = state
+        n = len(suffix)
+        kept = max((k for k in range(n + 1) if suffix[n - k :] + pending in self.prefixes), default=0)
+        share = self.shared.setdefault
+        out = []
+        for k in range(kept + 1):
+            head = suffix[n - k :] + pending
+            token, count = last[k]
+            if token != "" and head in self.prefixes:
+                fitting = self.fitting(token, head)
+                entry = (fitting, count) if fitting != frozenset() else NONE
+            else:
+                entry = NONE
+            out.append(share(entry, entry))
+        suffix = suffix[n - kept :]
+        return share(suffix, suffix), tuple(out)
+
+    def fitting(self, token, head: str):
+        """The tokens beginning with head that may follow token, if head has few; else token itself."""
+        if isinstance(token, frozenset):
+            return token if head == "" else frozenset(t for t in token if t.startswith(head))
+        begun = self.beginning.get(head, ())
+        if len(begun) > FEW:
+            return token
+        key = (token, head)
+        found = self.kept.get(key)
+        if found is None:
+            found = frozenset(t for t in begun if self.fits(token, t))
+            found = self.kept[key] = self.shared.setdefault(found, found)
+        return found
 
     def ending(self, state: tuple, symbol: str) -> int:
         """Count from the state to the end of the word, when symbol is its last."""
@@ -126,6 +176,9 @@ class Transducer:
         self.symbols: dict[int, int] = {}
         self.chars: list[int] = []
         self.width = 64
+        self.shared: dict = {}  # equal parts of states are one object
+        self.pairs.clear()
+        self.kept: dict = {}
         self.next = np.full((1024, self.width), -1, dtype=np.int32)
         self.emit = np.zeros((1024, self.width), dtype=np.int16)
         self.dense = np.full(0x110000, -1, dtype=np.int32)
@@ -138,9 +191,7 @@ class Transducer:
             found = self.ids[state] = len(self.states)
             self.states.append(state)
             if found >= len(self.next):
-                self.next = np.concatenate((self.next, np.full_like(self.next, -1)))
-                self.emit = np.concatenate((self.emit, np.zeros_like(self.emit)))
-                self.closing = np.concatenate((self.closing, np.zeros_like(self.closing)))
+                self._grow(ROWS, 0)
             self.closing[found] = self._close(state)
         return found
 
@@ -150,11 +201,15 @@ class Transducer:
             found = self.dense[char] = len(self.chars)
             self.chars.append(char)
             if found >= self.width:
-                self.next = np.concatenate((self.next, np.full_like(self.next, -1)), axis=1)
-                self.emit = np.concatenate((self.emit, np.zeros_like(self.emit)), axis=1)
-                self.width *= 2
+                self._grow(0, COLUMNS)
+                self.width += COLUMNS
         return found
 
+    def _grow(self, rows: int, columns: int) -> None:
+        self.next = np.pad(self.next, ((0, rows), (0, columns)), constant_values=-1)
+        self.emit = np.pad(self.emit, ((0, rows), (0, columns)))
+        self.closing = np.pad(self.closing, (0, rows))
+
     def kind(self, char: int) -> int:
         c = chr(char)
         category = unicodedata.category(c)
@@ -174,7 +229,7 @@ class Transducer:
                 state, n = self.step(state, pending)
                 count += n
             pending = self.of_byte[b]
-        return state, pending, count
+        return self.settle(state, pending), pending, count
 
     def _close(self, state: tuple) -> int:
         """Tokens emitted if the text ends in this state."""
@@ -239,7 +294,7 @@ class Transducer:
             lengths = np.array([len(chunks[i]) for i in lanes])
             if not lengths[0]:
                 continue
-            grid = np.zeros((lengths[0], len(lanes)), dtype=np.int64)
+            grid = np.zeros((lengths[0], len(lanes)), dtype=np.int32)
             for k, i in enumerate(lanes):
                 grid[: len(chunks[i]), k] = chunks[i]
             live = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
@@ -372,7 +427,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
             texts = b.column(1).to_pylist()
             while at < len(texts):
                 to, size = at, 0
-                while to < len(texts) and size < 1 << 23:
+                while to < len(texts) and size < TOGETHER:
                     size += len(texts[to] or "")
                     to += 1
                 counts = machine.count([t or "" for t in texts[at:to]])
@@ -380,7 +435,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFra
                 at = to
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long"
-    sized = docs.select("doc_id", "text").mapInArrow(_with_bytes(run), schema.replace("n_tokens", "n_bytes long, n_tokens"))
+    sized = bounded(docs).select("doc_id", "text").mapInArrow(_with_bytes(run), schema.replace("n_tokens", "n_bytes long, n_tokens"))
     return sized.withColumn("over_limit", F.col("n_tokens") > limit)
 
 
