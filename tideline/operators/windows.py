@@ -69,7 +69,7 @@ def chunked(df: DataFrame, f: Callable[[DataFrame, list[str]], DataFrame], befor
 
 def check_gapless(df: DataFrame, order: str = "prediction_time", by: Iterable[str] = ()) -> None:
     """Raise unless each series has exactly one row for every minute of its span."""
-    key = df.groupBy(*by) if list(by) else df.groupBy(F.lit(1))
+    key = df.groupBy(*by)
     t = F.unix_micros(F.col(order).cast("timestamp"))
     bad = key.agg((F.count("*") != (F.max(t) - F.min(t)) / 60_000_000 + 1).alias("a"), (F.count("*") != F.countDistinct(order)).alias("b"), F.count_if(F.col(order).isNull()).alias("c")).where("a or b or c > 0")
     if bad.limit(1).count():
