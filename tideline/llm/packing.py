@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import bounded, materialise
 
 LENGTH = 2048
 #: Pieces that one task packs at once, about; and the share of pooled partitions in a round.
@@ -104,7 +104,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = 0)
             made = list(zip(*out, strict=True)) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(made[0], pa.int32()), *(pa.array(x, pa.int64()) for x in made[1:])], schema=_arrow(schema))
 
-    return docs.mapInArrow(run, schema)
+    return bounded(docs).mapInArrow(run, schema)
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, text_bytes, word_hashes, word_spans
+from .common import bounded, materialise, text_bytes, word_hashes, word_spans
 
 #: The fit takes at most so many labelled rows, those of least hash; every row is scored.
 FIT_ROWS = 20_000
@@ -73,7 +73,7 @@ def with_statistics(docs: DataFrame, column: str = "__stats") -> DataFrame:
             stats = [statistics(t.as_py()) for t in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(stats, pa.list_(pa.float64()))], names=[*b.schema.names, column])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.ArrayType(T.DoubleType()))]))
+    return bounded(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.ArrayType(T.DoubleType()))]))
 
 
 # --- fitting on the bounded sample -------------------------------------------
