@@ -5,7 +5,8 @@ pigeonhole: a line is split into threshold + 1 segments, of which a line within
 threshold holds one unchanged, at a place that its length bounds. Each line is indexed by its
 segments and length, and probes the substrings that may equal a segment of a
 line as long or shorter. Met pairs are verified by ``levenshtein`` with a threshold, a banded
-computation inside Spark.
+computation inside Spark (not bit-parallel, which has no DataFrame function). Only hashes are
+shuffled; a line's text moves only if it has met another.
 """
 
 from __future__ import annotations
@@ -13,60 +14,95 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, small
 
 #: Lines shorter than this are never repeats; those shorter than NEAR_CHARS only exact ones.
 MIN_CHARS, NEAR_CHARS = 16, 40
 EDITS = 2
-#: Candidate pairs up to this number are broadcast to the lines they name, else joined by shuffle.
-BROADCAST_PAIRS = 200_000
+#: A segment key of more lines than this is hot: its pairs must also agree in their letters' counts.
+HOT_LINES, LETTERS = 16, "etaoinshrdlcum"
+#: Documents with lines to drop are broadcast if they have at most so many such lines, else joined by shuffle.
+BROADCAST_LINES = 5_000_000
 
 
-def _segment(n: F.Column, i: int, parts: int) -> tuple[F.Column, F.Column]:
-    """Start (from 0) and length of segment i of a line of n characters split evenly, longer segments last."""
-    base, over = F.floor(n / parts).cast("int"), n % parts
-    more = F.greatest(F.lit(0), F.lit(i - parts) + over)
-    return F.lit(i) * base + more, base + F.when(F.lit(i) >= F.lit(parts) - over, 1).otherwise(0)
+def probes(edits: int) -> list[tuple[int, int, int]]:
+    """(segment, characters fewer, shift) of the substrings that a line probes, by characters fewer; the first edits + 1 are its own segments.
 
-
-def _key(n: F.Column, i: int, part: F.Column) -> F.Column:
-    return F.xxhash64(n, F.lit(i), part)
-
-
-def index_keys(line: str, n: str, edits: int) -> F.Column:
-    """Keys of the segments of a line."""
-    at = [_segment(F.col(n), i, edits + 1) for i in range(edits + 1)]
-    return F.array(*[_key(F.col(n), i, F.substring(F.col(line), start + 1, size)) for i, (start, size) in enumerate(at)])
+    In a line with d characters fewer, segment i lies at most i characters from where this
+    line's split puts it, and at most edits - i from that place shifted by d.
+    """
+    found = [(i, d, s) for d in range(edits + 1) for i in range(edits + 1) for s in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1)]
+    return sorted(found, key=lambda x: (x[1], x[1] != 0 or x[2] != 0, x))
 
 
-def probe_keys(line: str, n: str, edits: int) -> F.Column:
-    """Keys under which a line as long or shorter by up to edits may be indexed.
+def segment_keys(line: str, n: str, edits: int) -> F.Column:
+    """Keys of all probes of a line, null where a substring would leave it.
 
-    With d characters fewer in the other line, segment i lies at most i characters from
-    its own place, and at most edits - i from that place shifted by d.
+    A line of m characters is split evenly into edits + 1 segments, longer ones last; the key
+    of a segment is a hash of m, its number and its characters.
     """
-    keys = []
-    for d in range(edits + 1):
-        other = F.col(n) - d
-        for i in range(edits + 1):
-            start, size = _segment(other, i, edits + 1)
-            for shift in range(max(-i, d - (edits - i)), min(i, d + (edits - i)) + 1):
-                at = start + shift
-                keys.append(F.when((at >= 0) & (at + size <= F.col(n)), _key(other, i, F.substring(F.col(line), at + 1, size))))
-    return F.array_compact(F.array(*keys))
-
-
-def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Pairs (a, b) of lines (line_id, line, n characters) within an edit distance; each pair once, n(a) >= n(b)."""
-    index = lines.select(F.explode(index_keys("line", "n", edits)).alias("key"), F.col("line_id").alias("b"), F.col("n").alias("nb"))
-    probe = lines.select(F.explode(probe_keys("line", "n", edits)).alias("key"), F.col("line_id").alias("a"), F.col("n").alias("na"))
-    once = (F.col("na") > F.col("nb")) | (F.col("a") > F.col("b"))
-    pairs = materialise(probe.join(index, "key").where(once).select("a", "b").distinct())
-    few = F.broadcast if pairs.count() <= BROADCAST_PAIRS else lambda x: x
-    text = lines.select("line_id", "line")
-    both = text.select(F.col("line_id").alias("a"), F.col("line").alias("la")).join(few(pairs), "a")
-    both = few(materialise(both)).join(text.select(F.col("line_id").alias("b"), F.col("line").alias("lb")), "b")
-    return both.where(F.levenshtein("la", "lb", edits) >= 0).select("a", "b")
+    parts, found = edits + 1, []
+    for i, d, s in probes(edits):
+        size = f"cast((({n} - {d}) div {parts} + if({parts - i} <= ({n} - {d}) % {parts}, 1, 0)) as int)"
+        start = f"cast({i} * (({n} - {d}) div {parts}) + greatest(0, {i - parts} + ({n} - {d}) % {parts}) + {s} as int)"
+        found.append(f"named_struct('at', {start}, 'size', {size}, 'tag', cast({n} - {d} as bigint) * {parts} + {i})")
+    key = f"if(x.at >= 0 and x.at + x.size <= {n}, xxhash64(x.tag, substring({line}, x.at + 1, x.size)), null)"
+    return F.expr(f"transform(array({', '.join(found)}), x -> {key})")
+
+
+def letters(line: str) -> F.Column:
+    """Counts of common letters (modulo 256), eight to a number."""
+    counts = [F.length(line) - F.length(F.replace(F.col(line), F.lit(c), F.lit(""))) for c in LETTERS]
+    packed = []
+    for at in range(0, len(counts), 7):
+        total = F.lit(0).cast("long")
+        for k, n in enumerate(counts[at : at + 7]):
+            total = total + F.shiftleft(n.cast("long").bitwiseAND(255), 8 * k)
+        packed.append(total)
+    return F.array(*packed)
+
+
+def letters_apart(a: str, b: str) -> F.Column:
+    """Least number by which the letter counts of two lines differ; an edit changes it by at most 2."""
+    total = F.lit(0)
+    for k in range(len(LETTERS)):
+        x, y = (F.shiftright(F.col(c)[k // 7], 8 * (k % 7)).bitwiseAND(255) for c in (a, b))
+        d = F.abs(x - y)
+        total = total + F.least(d, 256 - d)
+    return total
+
+
+def near_pairs(lines: DataFrame, edits: int, text=None) -> DataFrame:
+    """Pairs (a, b) of line ids that share a segment key; lines: line_id, keys. Each pair once, a no shorter than b.
+
+    A key that many lines have (lines that differ by whole words share most segments) gives pairs only of lines whose
+    letters may be edits apart, which loses none. text gives (line_id, line) for a frame of line_ids.
+    """
+    same = sum(1 for _, d, _ in probes(edits) if d == 0)
+    index = lines.select(F.explode(F.slice("keys", 1, edits + 1)).alias("key"), F.col("line_id").alias("b"))
+    probe = lines.select(F.posexplode("keys").alias("p", "key"), F.col("line_id").alias("a")).where("key is not null")
+    # probes for shorter lines may have the smaller id
+    probe = probe.select("key", "a", (F.col("p") >= same).alias("longer"))
+    once = F.col("longer") | (F.col("a") > F.col("b"))
+    hot = materialise(index.groupBy("key").count().where(F.col("count") > HOT_LINES).select("key")) if text is not None else None
+    if hot is None or not hot.limit(1).count():
+        return probe.join(index.hint("shuffle_hash"), "key").where(once).select("a", "b").distinct()
+    hot = small(hot)
+    met = probe.join(index.join(hot, "key", "left_anti").hint("shuffle_hash"), "key").where(once).select("a", "b")
+    probe, index = materialise(probe.join(hot, "key", "left_semi")), materialise(index.join(hot, "key", "left_semi"))
+    counts = text(probe.select(F.col("a").alias("line_id")).distinct()).select("line_id", letters("line").alias("letters"))
+    counts = small(materialise(counts))
+    probe = probe.join(counts.select(F.col("line_id").alias("a"), F.col("letters").alias("la")), "a")
+    index = index.join(counts.select(F.col("line_id").alias("b"), F.col("letters").alias("lb")), "b")
+    many = probe.join(index, (probe["key"] == index["key"]) & once & (letters_apart("la", "lb") <= 2 * edits)).select("a", "b")
+    return met.unionByName(many).distinct()
+
+
+def split_lines(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(d, t, pos, line, h1, h2) of every line of min_chars or more."""
+    lines = docs.where("text is not null").select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
+    lines = lines.select("d", "t", "pos", F.trim("raw").alias("line")).where(F.length("line") >= min_chars)
+    return lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit("second"), "line")})
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS) -> DataFrame:
@@ -79,37 +115,56 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
 
     Returns docs with the cleaned text, and n_lines, n_repeated, n_near. Null and empty
     texts stay as they are, with 0 and 1 lines. Rows alike in doc_id and text are one
-    document. Other columns pass through; columns named like the three added must not exist.
+    document. Other columns pass through, whatever their names; the three replace columns of their names.
     An empty table gives an empty result.
     """
-    key = [F.col("doc_id").alias("d"), F.xxhash64("text").alias("t")]
-    lines = docs.where("text is not null").select(*key, F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
-    lines = lines.select("d", "t", "pos", F.trim("raw").alias("line")).where(F.length("line") >= min_chars)
-    lines = lines.select("d", "t", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
+    slim = docs.select("doc_id", "text")
+    lines = split_lines(slim, min_chars)
     place = F.struct("d", "t", "pos")
-    distinct = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("line").alias("line"))
-    distinct = distinct.select("h1", "h2", "first", (F.col("first") != F.col("last")).alias("repeats"), "line", F.length("line").alias("n"))
+    keyed = lines.withColumn("n", F.length("line")).withColumn("keys", F.when(F.col("n") >= near_chars, segment_keys("line", "n", edits)))
+    distinct = keyed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("keys").alias("keys"))
+    distinct = distinct.select("h1", "h2", "first", (F.col("first") != F.col("last")).alias("repeats"), "keys")
     distinct = materialise(distinct.withColumn("line_id", F.monotonically_increasing_id()))
-    pairs = materialise(near_lines(distinct.where(F.col("n") >= near_chars).select("line_id", "line", "n"), edits))
+
+    def text(ids: DataFrame) -> DataFrame:
+        """(line_id, line) of some distinct lines, read again from the documents that first hold them."""
+        wanted = small(materialise(distinct.select("line_id", "h1", "h2", "first").join(ids, "line_id")))
+        hold = small(materialise(wanted.select("first.d", "first.t").distinct()))
+        holding = slim.join(hold, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("t")), "left_semi")
+        found = split_lines(holding, min_chars).join(wanted, ["h1", "h2"]).where(F.col("first") == place)
+        return found.groupBy("line_id").agg(F.first("line").alias("line"))
+
+    met = materialise(near_pairs(distinct.where("keys is not null").select("line_id", "keys"), edits, text))
+    said = materialise(text(met.select(F.explode(F.array("a", "b")).alias("line_id")).distinct()))
+    both = met.join(said.select(F.col("line_id").alias("a"), F.col("line").alias("la")), "a").join(said.select(F.col("line_id").alias("b"), F.col("line").alias("lb")), "b")
+    pairs = materialise(both.where(F.levenshtein("la", "lb", edits) >= 0).select("a", "b"))
     firsts = distinct.select("line_id", "first")
     ends = pairs.withColumn("pair", F.monotonically_increasing_id())
     ends = materialise(ends.select("pair", F.explode(F.array("a", "b")).alias("line_id")))
     later = ends.join(firsts, "line_id").groupBy("pair").agg(F.max(F.struct("first", "line_id")).alias("l")).select(F.col("l.line_id").alias("line_id")).distinct()
-    gone = distinct.drop("line").join(later.withColumn("near", F.lit(True)), "line_id", "left").where("repeats or near")
+    gone = distinct.select("line_id", "h1", "h2", "first", "repeats").join(later.withColumn("near", F.lit(True)), "line_id", "left").where("repeats or near")
     gone = gone.select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     rows = lines.select("d", "t", "pos", "h1", "h2").join(gone, ["h1", "h2"])
     again = F.col("first") != F.struct("d", "t", "pos")
     dropped = rows.where(again | F.col("near")).groupBy("d", "t").agg(F.collect_set("pos").alias("dropped"), F.count_if(again).alias("rep"), F.count_if(~again).alias("nea"))
-    out = docs.withColumn("__t", F.xxhash64("text")).join(dropped, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("__t") == F.col("t")), "left")
-    parts = F.split("text", "\n", -1)
-    keep = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("dropped"))
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda i: parts[i]), "\n"))
-    added = [F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"), F.coalesce("rep", F.lit(0)).cast("long").alias("n_repeated"), F.coalesce("nea", F.lit(0)).cast("long").alias("n_near")]
-    return out.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns], *added)
+    dropped = materialise(dropped)
+    if (dropped.agg(F.sum(F.size("dropped"))).first()[0] or 0) <= BROADCAST_LINES:
+        dropped = F.broadcast(dropped)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    out = docs.select(row, "doc_id", "text", F.xxhash64("text").alias("hash")).join(dropped, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("t")), "left")
+    out = out.withColumn("parts", F.when(F.col("dropped").isNotNull(), F.split("text", "\n", -1)))
+    keep = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("dropped"))
+    body = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.transform(keep, lambda i: F.col("parts")[i]), "\n"))
+    breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    added = {"n_lines": F.coalesce(breaks + 1, F.lit(0)), "n_repeated": F.coalesce("rep", F.lit(0)), "n_near": F.coalesce("nea", F.lit(0))}
+    kept = [body.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in added]
+    return out.select(*kept, *[x.cast("long").alias(c) for c, x in added.items()])
 
 
 def clean(docs: DataFrame) -> DataFrame:
     """docs with repeated lines removed, in its columns; documents of which nothing but blanks is left by that go."""
-    found = dedup_lines(docs)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    found = dedup_lines(docs.select("doc_id", "text", row))
     bare = (F.col("n_repeated") + F.col("n_near") > 0) & ~F.col("text").rlike("\\S")
-    return found.where(~F.coalesce(bare, F.lit(False))).drop("n_lines", "n_repeated", "n_near")
+    kept = [F.col("text") if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns]
+    return found.where(~F.coalesce(bare, F.lit(False))).select(*kept)
