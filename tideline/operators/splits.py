@@ -8,7 +8,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+
+from .windows import place
 
 TRAIN, VALIDATION = 0.7, 0.85
 PARTS = ("train", "validation", "test")
@@ -20,8 +21,7 @@ def boundaries(df: DataFrame, time: str = "prediction_time") -> tuple[datetime,
     if not n:
         raise IndexError("no rows to split")
     spots = [min(int(n * TRAIN), n - 1), min(int(n * VALIDATION), n - 1)]
-    place = F.row_number().over(W.orderBy(time)) - 1
-    at = {r["p"]: r["t"] for r in df.select(F.col(time).alias("t"), place.alias("p")).where(F.col("p").isin(spots)).collect()}
+    at = {r["__place"]: r[time] for r in place(df.select(time), time).where(F.col("__place").isin(spots)).collect()}
     return at[spots[0]], at[spots[1]]
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Collection, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ..spec import SeriesSpec
@@ -123,12 +124,26 @@ def grade_class(grade: Column) -> Column:
     return F.when(g.isin(1, 2), 0).when(g == 3, 1).when(g.isin(4, 5), 2)
 
 
+def place(df: DataFrame, order: str = "prediction_time", by: Iterable[str] = (), chunk: str = "day") -> DataFrame:
+    """df with __place, the position of each row in order, from 0 (of each series).
+
+    Of one series over time the positions are counted in chunks of time, and only the chunks'
+    row counts, a row for each, are added up in one place.
+    """
+    by = list(by)
+    if by or not isinstance(df.schema[order].dataType, (T.TimestampType, T.TimestampNTZType)):
+        return df.withColumn("__place", F.row_number().over(W.partitionBy(*by).orderBy(order)) - 1)
+    rows = df.withColumn("__chunk", F.date_trunc(chunk, order))
+    before = W.orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
+    starts = rows.groupBy("__chunk").count().select(F.col("__chunk").alias("__c"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
+    near = rows.withColumn("__near", F.row_number().over(W.partitionBy("__chunk").orderBy(order)) - 1)
+    placed = near.join(starts, F.col("__chunk").eqNullSafe(F.col("__c")))
+    return placed.withColumn("__place", F.col("__start") + F.col("__near")).drop("__chunk", "__c", "__start", "__near")
+
+
 def every(df: DataFrame, k: int, order: str = "prediction_time", by: Iterable[str] = ()) -> DataFrame:
     """Every kth row in order, from the first."""
-    if k <= 1:
-        return df
-    place = F.row_number().over(W.partitionBy(*by).orderBy(order))
-    return df.withColumn("__place", place - 1).where(F.col("__place") % k == 0).drop("__place")
+    return df if k <= 1 else place(df, order, by).where(F.col("__place") % k == 0).drop("__place")
 
 
 def average_rank(value: Column, by: Iterable[str] = ()) -> Column:

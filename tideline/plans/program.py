@@ -42,7 +42,8 @@ class FeatureStore:
 
     def __init__(self, minute: DataFrame, spec: SeriesSpec, cfg: RunConfig):
         self.minute, self.spec, self.cfg = minute, spec, cfg
-        self.plain = wi.backward_features(minute, spec.process, cfg.feature_windows_minutes, TIME).persist(StorageLevel.MEMORY_AND_DISK)
+        make = lambda rows, by: wi.backward_features(rows, spec.process, cfg.feature_windows_minutes, TIME, by, ["__own"])
+        self.plain = wi.chunked(minute, make, before=max(cfg.feature_windows_minutes), order=TIME).persist(StorageLevel.MEMORY_AND_DISK)
         self.columns = [c for c in self.plain.columns if c != TIME] + list(wi.CLUSTER_COLUMNS)
         self.clusters: dict[datetime, mo.Clusters] = {}
         self.at = validation.remembered(self._at)
@@ -71,15 +72,21 @@ class FeatureStore:
 def targets(minute: DataFrame, spec: SeriesSpec, cfg: RunConfig) -> DataFrame:
     """Every forward target, its baseline and whether the row may be used, in one frame."""
     a, b = cfg.temperature_future_start_minutes, cfg.temperature_future_end_minutes
+    c, d = cfg.kiln_state_label_start_minutes, cfg.kiln_state_label_end_minutes
     temp, stable = F.col(f"`{spec.temperature}`"), tb.is_stable(spec.stable_above)
-    state = wi.grade_class(tb.forward_fill([spec.grade], TIME)[spec.grade])
-    rows = minute.withColumns({"stable": stable, "state": state, "future_temp": wi.future_aggregate(temp, a, b, "mean", TIME), "recent_temp": wi.trailing(temp, "mean", 10, TIME, least=5)})
-    rows = rows.withColumns({
-        "trend": wi.deadband_label(F.col("future_temp") - F.col("recent_temp"), cfg.temperature_trend_deadband_c),
-        "valid_temp": F.col("stable") & wi.future_all(F.col("stable"), a, b, TIME) & F.col("future_temp").isNotNull() & F.col("recent_temp").isNotNull(),
-        "state_worst": wi.future_worst(F.col("state"), cfg.kiln_state_label_start_minutes, cfg.kiln_state_label_end_minutes, cfg.kiln_state_window_rule, TIME).cast("int"),
-        "state_centre": wi.future_value(F.col("state"), cfg.kiln_state_horizon_minutes, TIME),
-    })
+
+    def make(rows: DataFrame, by: list[str]) -> DataFrame:
+        rows = rows.withColumns({"future_temp": wi.future_aggregate(temp, a, b, "mean", TIME, by), "recent_temp": wi.trailing(temp, "mean", 10, TIME, by, least=5)})
+        return rows.withColumns({
+            "trend": wi.deadband_label(F.col("future_temp") - F.col("recent_temp"), cfg.temperature_trend_deadband_c),
+            "valid_temp": F.col("stable") & wi.future_all(F.col("stable"), a, b, TIME, by) & F.col("future_temp").isNotNull() & F.col("recent_temp").isNotNull(),
+            "state_worst": wi.future_worst(F.col("state"), c, d, cfg.kiln_state_window_rule, TIME, by).cast("int"),
+            "state_centre": wi.future_value(F.col("state"), cfg.kiln_state_horizon_minutes, TIME, by),
+        })
+
+    known = tb.forward_fill_chunked(minute.withColumn("__grade", F.col(f"`{spec.grade}`")), ["__grade"], TIME)
+    rows = known.withColumns({"stable": stable, "state": wi.grade_class(F.col("__grade"))})
+    rows = wi.chunked(rows, make, before=10, after=max(b, d, cfg.kiln_state_horizon_minutes), order=TIME)
     return rows.select(TIME, "stable", "state", "future_temp", "recent_temp", "trend", "valid_temp", "state_worst", "state_centre", F.col(f"`{spec.assay}`").alias("assay"))
 
 
