@@ -61,6 +61,16 @@ def test_empty_tables(spark):
     assert embed_dup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_tables_are_released(spark, tmp_path):
+    import os
+
+    df = common.materialise(spark.range(3))
+    path = common._WRITTEN[-1].removeprefix("file://")
+    assert df.count() == 3 and os.path.exists(path)
+    common.release(spark)
+    assert not os.path.exists(path)
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(0)
     a, b, c = (np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (900, 300, 300))

@@ -80,8 +80,7 @@ def test_bits_of_all_words_are_a_distribution():
     code = lm_score.byte_code(np.arange(256.0))
     sizes = lm_score.slot_sizes(100)
     rng = np.random.default_rng(1)
-    counts = rng.integers(0, 5, (2, sizes[1][-1])).astype(np.float32)
-    mixer = lm_score.Mixer(code, sizes, counts)
+    mixer = lm_score.Mixer(code, sizes, lm_score.pack_counts(rng.integers(0, 5, (sizes[1][-1], 2)).astype(float)))
     mixer.weights = rng.normal(size=mixer.weights.shape) * 0.3
     every = [b"ab" + bytes([b]) for b in range(256) if b != 32]
     owner, slots, bit = lm_score.spell(every, np.zeros(len(every), dtype=np.int64), code, sizes)

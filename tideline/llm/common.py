@@ -31,6 +31,7 @@ def materialise(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tideline-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.option("compression", compression).parquet(path)
     spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of what has been written
     return spark.read.schema(df.schema).parquet(path)
@@ -40,6 +41,17 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that materialise has written in this process; call it when results that read them are done with."""
+    sc = spark.sparkContext
+    while _WRITTEN:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows and bytes of a batch that goes to Python: texts are long, and a worker holds a few batches at a time.
 BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 

@@ -62,7 +62,9 @@ def encoder(path: str):
         def run(text: str) -> np.ndarray:
             try:
                 ids = fast.encode(text, allowed_special="all")
-            except Exception:  # noqa: BLE001  the regex engine gives up on some texts
+            except (KeyboardInterrupt, SystemExit):
+                raise
+            except BaseException:  # noqa: BLE001  the regex engine may give up on a text, or panic
                 ids = slow.encode(text, add_special_tokens=False).ids
             return np.array(ids, dtype=np.uint32)
 
