@@ -1,11 +1,11 @@
 """Embedding near-duplicates by product quantisation (operator 1).
 
 Unit vectors are dealt to coarse inverted lists; the residual to a list's centre is coded
-by subspaces. A vector looks into every list that can hold a vector within the
-distance the cosine threshold allows (its distance to the bisecting hyperplane decides that,
-so the probes are sufficient, not a guess), filters members by asymmetric table-lookup distances
-less their known coding error (again without loss), and links those whose exact cosine in
-double precision reaches the threshold.
+by subspaces. A vector looks into every list whose bisecting hyperplane is so near that a vector
+within the distance the cosine threshold allows may lie beyond it; it filters members by asymmetric
+table-lookup distances less their known coding error (without loss), and links those whose exact cosine in
+double precision reaches the threshold. Two near vectors differ in a direction that has little to do with a hyperplane's:
+the step across it is at most DEVIATIONS standard deviations of a random direction's, or the whole distance in few dimensions.
 
 Equal vectors are one node. A list is compared in blocks; within a pair of blocks
 only counts of links and a spanning forest leave the task, never all pairs.
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_groups, components, materialise
+from .common import bounded, by_groups, components, materialise
 
 COSINE = 0.95
 #: Centres and codes are fitted on at most so many vectors, those of least hash; all are indexed.
@@ -28,6 +28,8 @@ FIT_ROWS = 20_000
 #: About so many vectors in a list; lists at most; subspaces and codes in each; vectors of a block.
 LIST_ROWS, MOST_LISTS, SUBSPACES, CODES, BLOCK = 256, 4096, 8, 64, 512
 SEED = 17
+#: Probes reach so many standard deviations (1 / sqrt(dimensions)) of the allowed distance; beyond lies under one pair in two thousand at the threshold.
+DEVIATIONS = 3.5
 #: Slack of the lossless filters, for rounding.
 SLACK = 1e-6
 
@@ -67,6 +69,7 @@ class Index:
 
     def probes(self, x: np.ndarray, at: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) of every other list that may hold a vector within reach of a row."""
+        reach *= min(1.0, DEVIATIONS / np.sqrt(x.shape[1]))
         gaps = np.sqrt(np.maximum(((self.centres[:, None, :] - self.centres) ** 2).sum(2), 0)) if len(self.centres) <= 1024 else None
         rows, lists = [], []
         squares = (self.centres**2).sum(1)
@@ -90,10 +93,16 @@ class Index:
 
 
 def _unit(vectors) -> np.ndarray:
-    x = np.array(list(vectors), dtype=np.float64)
+    """Unit vectors of packed doubles."""
+    x = np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield b.assign(vector=[np.asarray(v, dtype=np.float64).tobytes() for v in b.vector])
+
+
 def _place(shared, reach: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index: Index = shared.value
@@ -183,14 +192,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     size = rows.where("ok").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     scaled = F.transform("v", lambda x: x / top)
     rows = rows.withColumn("ok", F.col("ok") & (F.size("v") == F.lit(size["d"] if size else 0)))
-    rows = materialise(rows.select("vec_id", F.when(F.col("ok"), scaled).alias("vector")).withColumn("hash", F.when(F.col("vector").isNotNull(), F.struct(F.xxhash64("vector"), F.xxhash64(F.lit(1), "vector")))))
-    nodes = materialise(rows.where("vector is not null").groupBy("hash").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("vector").alias("vector")))
+    rows = materialise(rows.select("vec_id", F.when(F.col("ok"), scaled).alias("vector")).withColumn("hash", F.when(F.col("vector").isNotNull(), F.struct(F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(1), "vector").alias("h2")))))
+    nodes = rows.where("vector is not null").groupBy("hash").agg(F.min("vec_id").alias("id"), F.count("*").alias("n"), F.first("vector").alias("vector"))
+    nodes = materialise(bounded(nodes.select("hash.*", "id", "n", "vector").toDF("h1", "h2", "id", "n", "vector")).mapInPandas(_pack, "h1 long, h2 long, id long, n long, vector binary"))
     total = nodes.count()
     if not total:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sample = nodes.select("vector", F.xxhash64(F.lit(SEED), "id").alias("h")).orderBy("h").limit(FIT_ROWS).toPandas()
+    sample = nodes.select("vector", F.xxhash64(F.lit(SEED), "id").alias("h")).orderBy("h", "id").limit(FIT_ROWS).toPandas()
     shared = spark.sparkContext.broadcast(Index(_unit(sample.vector), total))
-    schema = "id long, n long, vector array<double>, own long, list long, codes binary, error double"
+    schema = "id long, n long, vector binary, own long, list long, codes binary, error double"
     placed = materialise(nodes.select("id", "n", "vector").mapInPandas(_place(shared, reach), schema))
     blocks = placed.groupBy("list").agg(F.ceil(F.count_if(F.col("own") == F.col("list")) / BLOCK).cast("int").alias("blocks"))
     dealt = placed.join(blocks.where("blocks > 0"), "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
@@ -203,8 +213,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     found = materialise(by_groups(met, ["list", "i", "j"], _compare(shared, cosine, reach), "id long, links long, a long, b long, is_edge boolean"))
     counts = found.where("not is_edge").groupBy("id").agg(F.sum("links").alias("links"))
     labels = components(found.where("is_edge").select("a", "b"))
-    of = nodes.select("hash", "id", "n").join(counts, "id", "left").join(labels, "id", "left")
-    of = of.select("hash", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "id").alias("found"))
-    out = rows.select("vec_id", "hash").join(of, "hash", "left")
+    of = nodes.select("h1", "h2", "id", "n").join(counts, "id", "left").join(labels, "id", "left")
+    of = of.select(F.struct("h1", "h2").alias("hash"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "id").alias("found"))
+    # unusable vectors stay out of the join, where they would meet in one task
+    plain = rows.select("vec_id", "hash")
+    none = [F.lit(None).cast("long").alias(c) for c in ("n_links", "found")]
+    out = plain.where("hash is not null").join(of, "hash", "left").unionByName(plain.where("hash is null").select("*", *none))
     component = F.coalesce("found", "vec_id").alias("component_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
