@@ -263,7 +263,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
         labels = components(edges)
 
     ids = nodes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("component_id", "id").alias("found"))
-    out = rows.select("doc_id", "n_shingles", "digest").join(ids, "digest", "left")
+    # rows without a digest stay out of the join, where they would meet in one task
+    plain = rows.select("doc_id", "n_shingles", "digest")
+    out = plain.where("digest is not null").join(ids, "digest", "left").unionByName(plain.where("digest is null").withColumn("found", F.lit(None).cast("long")))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

@@ -80,10 +80,12 @@ def resolve(records: DataFrame, payload: bool = False) -> DataFrame:
     rows = materialise(rows.withColumn("full", F.coalesce("full", F.lit(False))))
     known = rows.where("u is not null and at is not null")
     at = latest_earlier(known.select("u", "at", "record_id", "full"))
-    asks = rows.where("not full").join(at, ["u", "at"], "left")
+    asks = materialise(rows.where("not full and u is not null and at is not null").join(at, ["u", "at"], "left").unionByName(rows.where("not full and (u is null or at is null)").withColumn("response_id", F.lit(None).cast(rows.schema["record_id"].dataType))))
     full = rows.where("full").select(F.col("record_id").alias("response_id"), F.col("etag").alias("e2"), F.col("modified").alias("m2"), F.col("headers").alias("h2"), F.col("payload_bytes").alias("b2"), F.col("payload_crc32").alias("c2"))
     full = full.dropDuplicates(["response_id"])
-    met = asks.join(full, "response_id", "left")
+    # revisits without a response stay out of the join, where they would meet in one task
+    none = [F.lit(None).cast(full.schema[c].dataType).alias(c) for c in full.columns if c != "response_id"]
+    met = asks.where("response_id is not null").join(full, "response_id", "left").unionByName(asks.where("response_id is null").select("*", *none))
     agrees = F.when(F.col("etag").isNotNull(), F.col("etag").eqNullSafe(F.col("e2"))).when(F.col("modified").isNotNull(), F.col("modified").eqNullSafe(F.col("m2"))).otherwise(True)
     met = met.withColumn("ok", F.col("response_id").isNotNull() & agrees)
     fresh = F.map_filter("headers", lambda k, _: k.isin(*PERMITTED))
