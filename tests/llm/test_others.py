@@ -98,6 +98,36 @@ def test_bits_of_all_words_are_a_distribution():
     assert total == pytest.approx(1, abs=1e-6)
 
 
+def test_counters_are_full_and_grow_with_the_vocabulary(spark):
+    """Every bit of every word meets the counts of all training words, whatever the blocks, and rare branches stay rare."""
+    assert all((lm_score.slot_sizes(10**8)[0] - lm_score.slot_sizes(10**5)[0]) >= 9)
+    mixer = lm_score.Mixer(None, None, lm_score.pack_counts(np.array([[1_000_000.0, 10.0]])))
+    at = np.zeros((lm_score.ORDERS, 1), dtype=np.int64)
+    assert mixer.inputs(at, None)[0] == pytest.approx(math.log(10.05 / 1_000_000.05), abs=1e-4)
+    assert mixer.inputs(at, np.array([1]))[0] == pytest.approx(math.log(9.05 / 1_000_000.05), abs=1e-4)
+
+    rng = np.random.default_rng(2)
+    made = sorted({bytes(rng.choice(list(b"abcd\xc3"), rng.integers(1, 7)).astype(np.uint8)) for _ in range(500)})
+    c = rng.integers(0, 100_000, (len(made), lm_score.GATES)) * (rng.random((len(made), lm_score.GATES)) < 0.4)
+    s = (c > 0) | (rng.random(c.shape) < 0.2)
+    rows = [(bytearray(t), *map(int, x), *map(int, y)) for t, x, y in zip(made, c, s, strict=True)]
+    vocab = spark.createDataFrame(rows, "token binary, " + ", ".join(f"{n} long" for n in lm_score._C + lm_score._S))
+    code, sizes = lm_score.byte_code(np.ones(256)), lm_score.slot_sizes(1 << 30)  # so many slots that no two contexts share one
+    i, g = np.nonzero(s)
+    owner, slots, bit = lm_score.spell([made[k] for k in i], g, code, sizes)
+    want = Counter()
+    for k in range(lm_score.ORDERS):
+        for x, b, w in zip(slots[k].tolist(), bit.tolist(), c[i, g][owner].tolist(), strict=True):
+            want[x, b] += w
+    found, parts = lm_score.counted(vocab, spark.sparkContext.broadcast((code, sizes)), 600)
+    blocks = found.collect()
+    assert len(blocks) > 5
+    for r in blocks:
+        block = lm_score.Block(r.data, code, sizes)
+        block.take(lm_score.pickle.loads(r.told), parts)
+        assert block.n.tolist() == [[want[x, 0], want[x, 1]] for x in block.keys.tolist()]
+
+
 # --- search ---
 
 
