@@ -199,3 +199,18 @@ def test_probes_and_filters_lose_nothing():
     for i, j in zip(*np.nonzero(x @ x.T >= 0.95), strict=True):
         assert (i, at[j]) in seen
         assert index.asymmetric(x[i : i + 1], at[j], codes[j : j + 1])[0, 0] - error[j] <= reach + embed_dup.SLACK
+
+
+@pytest.mark.parametrize("scale", [np.r_[np.ones(3), np.full(61, 1e-3)], 1.0 / np.arange(1, 65) ** 1.5])
+def test_probes_find_every_link_of_anisotropic_vectors(scale):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6000, 64)) * scale
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index, reach = embed_dup.Index(x, 20_000), math.sqrt(2 - 2 * 0.95)
+    assert len(index.centres) > 70
+    at = index.encode(x)[0]
+    met = np.zeros((len(x), len(index.centres)), dtype=bool)
+    met[np.arange(len(x)), at] = True
+    met[index.probes(x, at, reach)] = True
+    i, j = np.nonzero(x[:500] @ x.T >= 0.95)
+    assert met[i, at[j]].all()

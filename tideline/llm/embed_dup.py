@@ -4,8 +4,8 @@ Unit vectors are dealt to coarse inverted lists; the residual to a list's centre
 by subspaces. A vector looks into every list whose bisecting hyperplane is so near that a vector
 within the distance the cosine threshold allows may lie beyond it; it filters members by asymmetric
 table-lookup distances less their known coding error (without loss), and links those whose exact cosine in
-double precision reaches the threshold. Two near vectors differ in a direction that has little to do with a hyperplane's:
-the step across it is at most DEVIATIONS standard deviations of a random direction's, or the whole distance in few dimensions.
+double precision reaches the threshold. The step across a hyperplane is at most the whole distance, whatever the directions
+in which near vectors differ, so no link is lost.
 
 Equal vectors are one node. A list is compared in blocks; within a pair of blocks
 only counts of links and a spanning forest leave the task, never all pairs.
@@ -28,8 +28,8 @@ FIT_ROWS = 20_000
 #: About so many vectors in a list; lists at most; subspaces and codes in each; vectors of a block.
 LIST_ROWS, MOST_LISTS, SUBSPACES, CODES, BLOCK = 256, 4096, 8, 64, 512
 SEED = 17
-#: Probes reach so many standard deviations (1 / sqrt(dimensions)) of the allowed distance; beyond lies under one pair in two thousand at the threshold.
-DEVIATIONS = 3.5
+#: Rows of probes that are handed on at once.
+PROBES = 20_000
 #: Slack of the lossless filters, for rounding.
 SLACK = 1e-6
 
@@ -69,7 +69,6 @@ class Index:
 
     def probes(self, x: np.ndarray, at: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) of every other list that may hold a vector within reach of a row."""
-        reach *= min(1.0, DEVIATIONS / np.sqrt(x.shape[1]))
         gaps = np.sqrt(np.maximum(((self.centres[:, None, :] - self.centres) ** 2).sum(2), 0)) if len(self.centres) <= 1024 else None
         rows, lists = [], []
         squares = (self.centres**2).sum(1)
@@ -113,9 +112,12 @@ def _place(shared, reach: float):
             at, codes, error = index.encode(x)
             row, other = index.probes(x, at, reach)
             one = pd.DataFrame({"id": b.id, "n": b.n, "vector": b.vector, "own": at, "list": at, "codes": [c.tobytes() for c in codes], "error": error})
-            more = one.iloc[row].assign(list=other)
+            yield one
             # each pair of lists is compared once, in the larger; codes are needed of members only
-            yield pd.concat([one, more[more.list > more.own]])
+            later = other > at[row]
+            row, other = row[later], other[later]
+            for i in range(0, len(row), PROBES):
+                yield one.iloc[row[i : i + PROBES]].assign(list=other[i : i + PROBES])
 
     return run
 
