@@ -422,3 +422,19 @@ def test_whole_program(spark, tmp_path):
     assert signal["actuator_recommendation"] is None and json.loads((tmp_path / "run_manifest.json").read_text())["source"]["before"]["sha256"]
     compared = program.compare_runs(spark, out / "metrics.json", metrics)
     assert compared["status"] == "complete" and program.compare_runs(spark, out / "none.json", metrics)["status"] == "reference_not_found"
+
+
+def test_cluster_select_fits_all_rows_with_the_default_restarts(spark, tmp_path, monkeypatch):
+    from tideline.plans import queries
+
+    rows = [(k, k % 50, float(900 + k % 7)) for k in range(1, 2501)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    seen, fit = {}, mo.fit_clusters
+
+    def watch(events, *a, **k):
+        seen.update(n=events.count(), args=k)
+        return fit(events, *a, **(k | {"restarts": 1}))
+
+    monkeypatch.setattr(queries.mo, "fit_clusters", watch)
+    assert sum(r.n for r in queries.QUERIES["cluster_select"](spark, str(tmp_path)).collect()) == 2500
+    assert seen == {"n": 2500, "args": {}}

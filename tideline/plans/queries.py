@@ -575,7 +575,7 @@ def weekly_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("cluster_select")
 def cluster_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("prediction_time"), F.col("p_size").cast("double").alias("a"), "p_retailprice")
-    found = mo.fit_clusters(rows.where("prediction_time <= 2000"), ["a", "p_retailprice"], 2, 4, 7, restarts=2)
+    found = mo.fit_clusters(rows, ["a", "p_retailprice"], 2, 4, 7)
     which, far = found.columns()
     return rows.select("prediction_time", which.alias("cluster"), far.alias("distance")).groupBy("cluster").agg(F.count("*").alias("n"), F.avg("distance").alias("mean_distance"))
 
