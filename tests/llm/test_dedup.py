@@ -173,7 +173,8 @@ def test_embeddings_equal_brute_force(spark):
     rows = [(i, [float(v) for v in x[i % 60] * (1 + i // 60) + (0.12 if i % 3 else 0.0) * rng.normal(size=16) * (i >= 60)], i % 2, 9) for i in range(400)]
     rows += [(1000 + i, [float(v) for v in x[0]], 0, 9) for i in range(5)]
     bad = [(2000, None), (2001, []), (2002, [0.0] * 16), (2003, [float("nan")] * 16), (2004, [1.0] * 15 + [None]), (2005, [float("inf")] * 16), (2006, [1.0] * 3), (None, [1.0] * 16)]
-    df = spark.createDataFrame(rows + [(*b, 0, 9) for b in bad], "vec_id long, embedding array<double>, label int, hash int")
+    short = [(3000, [1.0, 2.0]), (3001, [2.0, 4.1]), (3002, [-1.0, 2.0])]
+    df = spark.createDataFrame(rows + [(*b, 0, 9) for b in bad + short], "vec_id long, embedding array<double>, label int, hash int")
     got = {r.vec_id: r for r in embed_dup.near_duplicates(df).collect()}
     ids = [r[0] for r in rows]
     u = np.array([r[1] for r in rows])
@@ -185,6 +186,7 @@ def test_embeddings_equal_brute_force(spark):
         assert got[i].n_links == near[k].sum() - 1 and got[i].component_id == want[i] and got[i].kept == (want[i] == i)
     for b, _ in bad:
         assert got[b].n_links == 0 and got[b].component_id == b and got[b].kept
+    assert [(got[i].n_links, got[i].component_id) for i, _ in short] == [(1, 3000), (1, 3000), (0, 3002)]
 
 
 def test_probes_and_filters_lose_nothing():
@@ -201,16 +203,53 @@ def test_probes_and_filters_lose_nothing():
         assert index.asymmetric(x[i : i + 1], at[j], codes[j : j + 1])[0, 0] - error[j] <= reach + embed_dup.SLACK
 
 
-@pytest.mark.parametrize("scale", [np.r_[np.ones(3), np.full(61, 1e-3)], 1.0 / np.arange(1, 65) ** 1.5])
-def test_probes_find_every_link_of_anisotropic_vectors(scale):
-    rng = np.random.default_rng(6)
-    x = rng.normal(size=(6000, 64)) * scale
+def planted(rng, rows, rank, size):
+    """Unit vectors in a random subspace, every tenth followed by one at a cosine of 0.950 to 0.955."""
+    x = rng.normal(size=(rows, rank))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    index, reach = embed_dup.Index(x, 20_000), math.sqrt(2 - 2 * 0.95)
-    assert len(index.centres) > 70
+    step = rng.normal(size=(rows // 10, rank))
+    base = x[: rows // 10]
+    step -= (step * base).sum(1, keepdims=True) * base
+    step /= np.linalg.norm(step, axis=1, keepdims=True)
+    c = rng.uniform(0.9501, 0.955, size=(rows // 10, 1))
+    x[-(rows // 10) :] = c * base + np.sqrt(1 - c**2) * step
+    return x @ np.linalg.qr(rng.normal(size=(size, rank)))[0].T
+
+
+@pytest.mark.parametrize(("rank", "size"), [(3, 64), (8, 64), (16, 64), (64, 64), (8, 768), (16, 768)])
+def test_probes_reach_every_link_whatever_the_directions(rank, size):
+    rng = np.random.default_rng(6)
+    x = planted(rng, 12_000, rank, size)
+    index, reach = embed_dup.Index(x, len(x)), math.sqrt(2 - 2 * 0.95)
+    assert len(index.centres) >= 20
     at = index.encode(x)[0]
     met = np.zeros((len(x), len(index.centres)), dtype=bool)
     met[np.arange(len(x)), at] = True
     met[index.probes(x, at, reach)] = True
-    i, j = np.nonzero(x[:500] @ x.T >= 0.95)
-    assert met[i, at[j]].all()
+    pairs = [(np.arange(1_200), np.arange(10_800, 12_000)), np.nonzero(np.triu(x[:500] @ x[:500].T >= 0.95, 1))]
+    i, j = (np.concatenate(p) for p in zip(*pairs, strict=True))
+    first = at[i] <= at[j]  # the one in the earlier list probes
+    i, j = np.where(first, i, j), np.where(first, j, i)
+    found = met[i, at[j]].mean()
+    assert (at[i] != at[j]).any() and (found == 1 if rank < 64 else found > 0.995)
+
+
+@pytest.mark.parametrize(("rank", "size", "kind"), [(8, 64, "float"), (16, 48, "double")])
+def test_many_lists_equal_brute_force(spark, tmp_path, rank, size, kind):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    x = planted(np.random.default_rng(7), 11_000, rank, size).astype(np.float32 if kind == "float" else np.float64)
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)}), tmp_path / "e.parquet")
+    df = spark.read.parquet(str(tmp_path / "e.parquet"))
+    nodes, packed = embed_dup.distinct_vectors(embed_dup.prepared(df))
+    shared, measured = embed_dup.fitted(nodes, packed, 0.95, math.sqrt(0.1))
+    assert len(shared.value.of[size].centres) >= 20 and measured[size].links > 20
+    got = {r.vec_id: r for r in embed_dup.near_duplicates(df).collect()}
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    near = u @ u.T >= 0.95
+    links = list(zip(*np.nonzero(np.tril(near, -1)), strict=True))
+    want = classes(list(range(len(x))), [(int(a), int(b)) for a, b in links])
+    n = near.sum(1) - 1
+    assert all(got[i].n_links == n[i] and got[i].component_id == want[i] for i in range(len(x)))
