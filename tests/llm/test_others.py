@@ -57,22 +57,100 @@ def test_quality_of_hard_documents(spark, corpus):
 # --- language model ---
 
 
+def held(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 10 == 0
+
+
 def test_scores_of_hard_documents(corpus):
-    docs = corpus.where("doc_id <> 406 or doc_id is null")
-    rows = docs.select("doc_id", "text").collect()
-    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
+    rows = corpus.select("doc_id", "text").collect()
     tokens = {(r.doc_id, r.text): [*(r.text or "").encode().lower().split(), b"\n"] for r in rows}
     count = Counter(w for r in rows if not held(r.doc_id) for w in tokens[(r.doc_id, r.text)])
     n, v = sum(count.values()), len(count)
-    got = lm_score.score_documents(docs).collect()
+    got = lm_score.score_documents(corpus).collect()
     assert len(got) == len(rows) and any(r.held_out for r in got)
     by_id = {r.doc_id: r for r in rows}
     for r in got:
         t = tokens[(r.doc_id, by_id[r.doc_id].text)]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(r.doc_id), len(t), sum(count[w] > 0 for w in t), n)
         assert r.base_score == pytest.approx(sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t))
-        assert r.score < 0 and math.isfinite(r.bits_per_byte)
-    assert lm_score.score_documents(docs.where("false")).count() == 0
+        assert r.score < 0 and r.bits_per_byte == pytest.approx(-r.score * math.log2(10) / (sum(map(len, t)) + len(t) - 1))
+    assert lm_score.score_documents(corpus.where("false")).count() == 0
+
+
+def test_held_out_texts_score_above_their_base(spark):
+    """The model beats smoothed frequencies on texts it has not learned from; texts that occur once more in training are foretold."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = lm_score.score_documents(docs).where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_foretold").alias("n")).first()
+    assert got.base < got.score < 0 and got.n > 0
+
+
+def tiny(spark):
+    rng = np.random.default_rng(9)
+    some = [f"w{'abcd'[k % 4]}{k}" for k in range(30)]
+    texts = [" ".join(rng.choice(some, int(rng.integers(0, 25)))) for _ in range(60)]
+    texts += [texts[3] + " and more", texts[4], "wa0 wa0 wa0 wa0 wa0", None, "Wa0\tWB1  wa0"]
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+def test_scores_equal_brute_force(spark, monkeypatch):
+    """The whole score, from spelled words and contexts counted one occurrence at a time; and the same whatever the partitions."""
+    monkeypatch.setattr(lm_score, "HEAD", 9)
+    monkeypatch.setattr(lm_score, "PART", 60)
+    rows = tiny(spark)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one = {r.doc_id: r for r in lm_score.score_documents(df.coalesce(1)).collect()}
+    many = {r.doc_id: r for r in lm_score.score_documents(df.repartition(7)).collect()}
+    assert all(one[i].score == pytest.approx(many[i].score, abs=1e-9) and one[i].n_foretold == many[i].n_foretold for i, _ in rows)
+
+    cost = {bytes(r.token): r for r in lm_score.spelled(lm_score.gather(df).persist(), len({w for i, t in rows if not held(i) for w in lm_score.words((t or "").encode())})).collect()}
+    top = sorted(cost.values(), key=lambda r: (-r.c, bytes(r.token)))[:9]
+    hot = {bytes(r.token) for r in top if r.c > 60}
+    after, seen = {}, []
+    for i, t in rows:
+        w = lm_score.words((t or "").encode())
+        for k, word in enumerate(w):
+            back = [w[k - j] if j <= k else None for j in range(1, 8)]
+            size = next((m for m in range(2, 7) if any(x is not None and x not in hot for x in back[:m])), None)
+            found = (word, None if size is None else tuple(back[:size]), None if size is None else tuple(back[: size + 1]), not held(i), i)
+            seen.append(found)
+            if found[3] and size:
+                for c in found[1:3]:
+                    after.setdefault((len(c) == size, c), Counter())[word] += 1
+    rank = lambda w: int(hash_of(w) & np.uint64(0xFFFFFFFF))
+
+    def hash_of(w):
+        at = [k for k, r in enumerate(top) if bytes(r.token) == w]
+        return lm_score.mix64(np.array([at[0] + 1], dtype=np.uint64))[0] if at else lm_score.word_hashes(np.frombuffer(w, dtype=np.uint8))[0]
+
+    code, ones, total = [], Counter(), Counter()
+    for word, short, long, trained, _ in seen:
+        if short is None:
+            code.append(0)
+            continue
+        a, b = (Counter(after.get((kind, c), {})) for kind, c in ((True, short), (False, long)))
+        if trained:
+            a[word] -= 1
+            b[word] -= 1
+        if sum(a.values()) == 0:
+            code.append(0)
+            continue
+        of = b if sum(b.values()) else a
+        best = min((w for w in of if of[w] > 0), key=lambda w: (-of[w], rank(w)))
+        level = lambda n: int(np.searchsorted(lm_score._ENDS, n))
+        n1, m1 = (b[best], sum(b.values()) - b[best])
+        cell = ((level(n1) * 7 + level(m1)) * 7 + level(a[best])) * 7 + level(sum(a.values()) - a[best])
+        code.append(2 * cell + (word == best))
+        if trained:
+            total[cell] += 1
+            ones[cell] += word == best
+    cells = np.array(sorted(total))
+    logs = lm_score.foretold(cells, np.array([ones[c] for c in cells]), np.array([total[c] for c in cells]))
+    want = Counter()
+    for c, (word, _, _, _, i) in zip(code, seen, strict=True):
+        want[i] += logs[c] + (0 if c % 2 else cost[word].g0)
+    assert sum(c > 1 for c in code) > 200 and any(c % 2 for c in code) and hot
+    for i, _ in rows:
+        assert one[i].score == pytest.approx(want[i] + lm_score.GATE_COST, abs=1e-6)
 
 
 def test_bits_of_all_words_are_a_distribution():
@@ -80,52 +158,47 @@ def test_bits_of_all_words_are_a_distribution():
     code = lm_score.byte_code(np.arange(256.0))
     sizes = lm_score.slot_sizes(100)
     rng = np.random.default_rng(1)
-    mixer = lm_score.Mixer(code, sizes, lm_score.pack_counts(rng.integers(0, 5, (sizes[1][-1], 2)).astype(float)))
+    mixer = lm_score.Mixer(code, sizes, rng.integers(0, 5, (sizes[1][-1], 2)).astype(np.float32))
     mixer.weights = rng.normal(size=mixer.weights.shape) * 0.3
-    every = [b"ab" + bytes([b]) for b in range(256) if b != 32]
-    owner, slots, bit = lm_score.spell(every, np.zeros(len(every), dtype=np.int64), code, sizes)
-    p = mixer.probability(slots)
+    every = [b"ab" + bytes([b]) for b in range(256) if b != 32] + [b"ab"]
+    owner, low, keys, bit = lm_score.spell(every, np.zeros(len(every), dtype=np.int64), np.full(len(every), 1), code, sizes)
+    at, found = np.unique(keys, return_inverse=True)
+    p = mixer.probability(low, found.reshape(keys.shape), rng.integers(0, 5, (len(at), 2)).astype(np.float32))
     lp = np.log(np.where(bit == 1, p, 1 - p))
-    # bits of the third byte alone
+    # bits of the third byte alone, which for the last is the white space
     first, lengths = code[2][[97, 98]].sum(), code[2]
-    total = 0.0
-    for k, t in enumerate(every):
-        mine = lp[owner == k][first : first + lengths[t[2]]]
-        total += math.exp(mine.sum())
-    space = lm_score.spell([b"ab"], np.zeros(1, dtype=np.int64), code, sizes)
-    q = mixer.probability(space[1])
-    total += math.exp(np.log(np.where(space[2] == 1, q, 1 - q))[first:].sum())
+    total = sum(math.exp(lp[owner == k][first : first + lengths[(t + b" ")[2]]].sum()) for k, t in enumerate(every))
     assert total == pytest.approx(1, abs=1e-6)
 
 
-def test_counters_are_full_and_grow_with_the_vocabulary(spark):
-    """Every bit of every word meets the counts of all training words, whatever the blocks, and rare branches stay rare."""
-    assert all((lm_score.slot_sizes(10**8)[0] - lm_score.slot_sizes(10**5)[0]) >= 9)
-    mixer = lm_score.Mixer(None, None, lm_score.pack_counts(np.array([[1_000_000.0, 10.0]])))
-    at = np.zeros((lm_score.ORDERS, 1), dtype=np.int64)
-    assert mixer.inputs(at, None)[0] == pytest.approx(math.log(10.05 / 1_000_000.05), abs=1e-4)
-    assert mixer.inputs(at, np.array([1]))[0] == pytest.approx(math.log(9.05 / 1_000_000.05), abs=1e-4)
-
+def test_counts_of_words_so_far_are_whole(spark, monkeypatch):
+    """Every bit of every word meets the counts of all training words that begin so, whatever the groups."""
+    monkeypatch.setattr(lm_score, "MOST_ALIKE", 40)
+    monkeypatch.setattr(lm_score, "GROUP", 50)
+    monkeypatch.setattr(lm_score, "DEPTHS", (1, 2, 4))
+    assert (lm_score.slot_sizes(10**8)[0] >= lm_score.slot_sizes(10**5)[0]).all()
     rng = np.random.default_rng(2)
     made = sorted({bytes(rng.choice(list(b"abcd\xc3"), rng.integers(1, 7)).astype(np.uint8)) for _ in range(500)})
     c = rng.integers(0, 100_000, (len(made), lm_score.GATES)) * (rng.random((len(made), lm_score.GATES)) < 0.4)
-    s = (c > 0) | (rng.random(c.shape) < 0.2)
-    rows = [(bytearray(t), *map(int, x), *map(int, y)) for t, x, y in zip(made, c, s, strict=True)]
+    rows = [(bytearray(t), *map(int, x), *[1] * lm_score.GATES) for t, x in zip(made, c, strict=True)]
     vocab = spark.createDataFrame(rows, "token binary, " + ", ".join(f"{n} long" for n in lm_score._C + lm_score._S))
-    code, sizes = lm_score.byte_code(np.ones(256)), lm_score.slot_sizes(1 << 30)  # so many slots that no two contexts share one
-    i, g = np.nonzero(s)
-    owner, slots, bit = lm_score.spell([made[k] for k in i], g, code, sizes)
+    code, sizes = lm_score.byte_code(np.ones(256)), lm_score.slot_sizes(1000)
+    dealt = lm_score.grouped(vocab, int((c.sum(1) > 0).sum())).toPandas()
+    assert dealt.group.nunique() > 4 and set(dealt.depth) > {1, 2}
+    i, g = np.nonzero(c)
+    owner, _, keys, bit = lm_score.spell([made[k] for k in i], g, np.ones(len(i)), code, sizes)
     want = Counter()
-    for k in range(lm_score.ORDERS):
-        for x, b, w in zip(slots[k].tolist(), bit.tolist(), c[i, g][owner].tolist(), strict=True):
-            want[x, b] += w
-    found, parts = lm_score.counted(vocab, spark.sparkContext.broadcast((code, sizes)), 600)
-    blocks = found.collect()
-    assert len(blocks) > 5
-    for r in blocks:
-        block = lm_score.Block(r.data, code, sizes)
-        block.take(lm_score.pickle.loads(r.told), parts)
-        assert block.n.tolist() == [[want[x, 0], want[x, 1]] for x in block.keys.tolist()]
+    for k in range(2):
+        for x, b, w in zip(keys[k].tolist(), bit.tolist(), c[i, g][owner].tolist(), strict=True):
+            want[k, x, b] += w
+    for _, part in dealt.groupby("group"):
+        group = lm_score.Group(part, code, sizes)
+        r, g = np.nonzero(np.ones((len(part), lm_score.GATES)))
+        _, _, keys, _ = group.spell(r, g)
+        n = group.n[group.known(keys)]
+        for k in range(2):
+            deep = keys[k] != 0
+            assert n[k][deep].tolist() == [[np.float32(want[k, x, 0]), np.float32(want[k, x, 1])] for x in keys[k][deep].tolist()] and not n[k][~deep].any()
 
 
 # --- search ---

@@ -183,6 +183,26 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 # --- groups without a call for each ------------------------------------------
 
 
+def in_groups(batches, keys: list[str]):
+    """(key, rows) of each run of equal keys in batches that are sorted by them."""
+    rest = None
+    for b in batches:
+        if rest is not None and len(rest):
+            b = pd.concat([rest, b], ignore_index=True)
+        if not len(b):
+            continue
+        edge = np.zeros(len(b), dtype=bool)
+        for k in keys:
+            v = b[k].to_numpy()
+            edge[1:] |= v[1:] != v[:-1]
+        starts = np.concatenate(([0], np.flatnonzero(edge)))
+        for i, j in zip(starts[:-1], starts[1:], strict=True):
+            yield tuple(b[k].iloc[i] for k in keys), b.iloc[i:j]
+        rest = b.iloc[starts[-1] :]
+    if rest is not None and len(rest):
+        yield tuple(rest[k].iloc[0] for k in keys), rest
+
+
 def by_groups(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
     """run(key, rows) for each group of df, where groups are many and small.
 
@@ -191,27 +211,10 @@ def by_groups(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
     """
 
     def through(batches):
-        rest = None
-        for b in batches:
-            if rest is not None and len(rest):
-                b = pd.concat([rest, b], ignore_index=True)
-            if not len(b):
-                continue
-            edge = np.zeros(len(b), dtype=bool)
-            for k in keys:
-                v = b[k].to_numpy()
-                edge[1:] |= v[1:] != v[:-1]
-            starts = np.concatenate(([0], np.flatnonzero(edge)))
-            for i, j in zip(starts[:-1], starts[1:], strict=True):
-                yield from one(b.iloc[i:j])
-            rest = b.iloc[starts[-1] :]
-        if rest is not None and len(rest):
-            yield from one(rest)
-
-    def one(rows):
-        out = run(tuple(rows[k].iloc[0] for k in keys), rows)
-        if out is not None and len(out):
-            yield out
+        for key, rows in in_groups(batches, keys):
+            out = run(key, rows)
+            if out is not None and len(out):
+                yield out
 
     return bounded(df).repartition(*keys).sortWithinPartitions(*keys).mapInPandas(through, schema)
 
