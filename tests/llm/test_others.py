@@ -95,7 +95,7 @@ def tiny(spark):
 def test_scores_equal_brute_force(spark, monkeypatch):
     """The whole score, from spelled words and contexts counted one occurrence at a time; and the same whatever the partitions."""
     monkeypatch.setattr(lm_score, "HEAD", 9)
-    monkeypatch.setattr(lm_score, "PART", 60)
+    monkeypatch.setattr(lm_score, "PART", 24)
     rows = tiny(spark)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     one = {r.doc_id: r for r in lm_score.score_documents(df.coalesce(1)).collect()}
@@ -104,7 +104,7 @@ def test_scores_equal_brute_force(spark, monkeypatch):
 
     cost = {bytes(r.token): r for r in lm_score.spelled(lm_score.gather(df).persist(), len({w for i, t in rows if not held(i) for w in lm_score.words((t or "").encode())})).collect()}
     top = sorted(cost.values(), key=lambda r: (-r.c, bytes(r.token)))[:9]
-    hot = {bytes(r.token) for r in top if r.c > 60}
+    hot = {bytes(r.token) for r in top if r.c > 24}
     after, seen = {}, []
     for i, t in rows:
         w = lm_score.words((t or "").encode())
