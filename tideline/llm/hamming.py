@@ -3,7 +3,8 @@
 A code of 64 bits is cut into segments, each an index. Codes within distance r of a query agree
 with it, in some segment, up to floor(r / segments) bits: so a query that has probed all
 segments to radius s has met every code within segments * (s + 1) - 1. Radii grow
-until a query's kth verified distance is within that bound; only then is it settled.
+until a query's kth verified distance is within that bound; only then is it settled. With the radius at a segment's
+width every code has been met, so no other way is needed for queries far from all codes.
 
 The codes are dealt into blocks of bounded size, each of which is indexed by itself; the stated
 queries meet every block, in chunks, and the blocks' best are merged.
@@ -25,8 +26,6 @@ K = 10
 BITS = 64
 #: Distinct codes of a block, queries of a chunk, and queries that probe at once.
 BLOCK, CHUNK, TOGETHER = 65_536, 4_096, 32
-#: From where on probing costs more than comparing with a block's every code.
-MOST_PROBES = 1 / 4
 
 
 def sign_code(vector: str) -> F.Column:
@@ -63,12 +62,8 @@ class Block:
         left, met = np.arange(len(queries)), np.zeros((len(queries), BITS + 1), dtype=np.int64)
         out = []
         for radius in range(int(self.widths.max()) + 1):
-            cost = 0
             for s in range(self.segments):
                 masks = np.array([sum(1 << b for b in at) for at in combinations(range(int(self.widths[s])), radius)], dtype=np.int64)
-                cost += len(masks)
-                if cost > n * MOST_PROBES:
-                    break
                 value = self.part(queries[left], s)[:, None] ^ masks
                 low, high = self.starts[s][value], self.starts[s][value + 1]
                 size = (high - low).ravel()
@@ -84,19 +79,10 @@ class Block:
                 q, c, d = q[new], c[new], np.bitwise_count(differ[new]).astype(np.int64)
                 np.add.at(met, (q, d), 1)
                 out.append((q, c, d))
-            else:
-                bound = self.segments * (radius + 1) - 1
-                left = left[met[left, : bound + 1].sum(1) < k]
-                if len(left):
-                    continue
-            break
-        if len(left):  # compare with every code of the block
-            out = [tuple(x[~np.isin(o[0], left)] for x in o) for o in out]
-            d = np.bitwise_count(queries[left][:, None] ^ self.codes).astype(np.int64)
-            q = np.repeat(left, n)
-            met[left] = 0
-            np.add.at(met, (q, d.ravel()), 1)
-            out.append((q, np.tile(np.arange(n), len(left)), d.ravel()))
+            bound = self.segments * (radius + 1) - 1
+            left = left[met[left, : bound + 1].sum(1) < k]
+            if not len(left):
+                break
         q, c, d = (np.concatenate(x) for x in zip(*out, strict=True))
         last = (np.cumsum(met, 1) >= k).argmax(1)
         keep = d <= last[q]
