@@ -173,7 +173,7 @@ def test_bits_of_all_words_are_a_distribution():
 
 def test_counts_of_words_so_far_are_whole(spark, monkeypatch):
     """Every bit of every word meets the counts of all training words that begin so, whatever the groups."""
-    monkeypatch.setattr(lm_score, "MOST_ALIKE", 40)
+    monkeypatch.setattr(lm_score, "MOST_ALIKE", 15)
     monkeypatch.setattr(lm_score, "GROUP", 50)
     monkeypatch.setattr(lm_score, "DEPTHS", (1, 2, 4))
     assert (lm_score.slot_sizes(10**8)[0] >= lm_score.slot_sizes(10**5)[0]).all()
@@ -184,7 +184,7 @@ def test_counts_of_words_so_far_are_whole(spark, monkeypatch):
     vocab = spark.createDataFrame(rows, "token binary, " + ", ".join(f"{n} long" for n in lm_score._C + lm_score._S))
     code, sizes = lm_score.byte_code(np.ones(256)), lm_score.slot_sizes(1000)
     dealt = lm_score.grouped(vocab, int((c.sum(1) > 0).sum())).toPandas()
-    assert dealt.group.nunique() > 4 and set(dealt.depth) > {1, 2}
+    assert dealt.group.nunique() > 4 and len(set(dealt.depth)) > 1
     i, g = np.nonzero(c)
     owner, _, keys, bit = lm_score.spell([made[k] for k in i], g, np.ones(len(i)), code, sizes)
     want = Counter()
@@ -223,10 +223,11 @@ def test_top_k_equals_brute_force(spark):
     assert [r.c for r in df.select(hamming.sign_code("v").alias("c")).collect()] == [1, -(2**63), None, None, None]
 
 
-def test_search_stops_only_when_covered():
+@pytest.mark.parametrize("size", [5, 500, 20_000])
+def test_search_stops_only_when_covered(size):
     rng = np.random.default_rng(6)
-    codes = np.unique(rng.integers(0, 2**63, 20_000).astype(np.uint64))
-    near = codes[:40] ^ (np.uint64(1) << rng.integers(0, 60, 40).astype(np.uint64))
+    codes = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+    near = np.concatenate((codes[:20] ^ (np.uint64(1) << rng.integers(0, 60, len(codes[:20])).astype(np.uint64)), rng.integers(0, 2**63, 20).astype(np.uint64), ~codes[:2]))
     q, c, d = hamming.Block(codes).search(near, 3)
     for k, x in enumerate(near):
         far = np.bitwise_count(codes ^ x)
@@ -382,7 +383,27 @@ def test_token_counts_equal_the_library(monkeypatch):
         monkeypatch.setattr(token_count, "CHUNK", size)
         assert machine.count(texts[:400]) == want[:400]
     monkeypatch.setattr(token_count, "MOST_STATES", 10)
-    assert machine.count(texts[:200]) == want[:200] and machine.count(texts[200:400]) == want[200:400]
+    assert machine.count(texts[:200]) == want[:200] and machine.count(texts[200:400]) == want[200:400] and len(machine.states) < 3000
+
+
+def test_tables_stay_bounded(monkeypatch):
+    """Many characters and states: tables don't grow with the alphabet, and are begun anew within a text."""
+    import time
+
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    machine, library = token_count.Transducer(path), Tokenizer.from_file(path)
+    rng = np.random.default_rng(3)
+    words_ = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(2, 9)))) for _ in range(9_000)]
+    signs = "".join(map(chr, range(0x4E00, 0x4E00 + 3000)))
+    texts = [" ".join(words_), signs, " ".join(signs[:500]) + signs[::-1]]
+    want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert machine.count(texts[:1]) == want[:1] and len(machine.states) > 10_000
+    start = time.time()
+    assert machine.count(texts[1:]) == want[1:] and time.time() - start < 20
+    assert machine.next.nbytes + machine.emit.nbytes < 100 << 20 and machine.next.shape[1] == token_count.COLUMNS
+    monkeypatch.setattr(token_count, "MOST_STATES", 500)
+    monkeypatch.setattr(token_count, "MOST_RARE", 300)
+    assert machine.count(texts) == want and len(machine.states) < 3_000
 
 
 def test_maps_compose_associatively():

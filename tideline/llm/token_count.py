@@ -6,7 +6,9 @@ merges depend on: for each place where a token could still begin, the last token
 merge result up to there, and its count relative to now. Which token follows is decided by
 pairwise compatibility: a sequence of tokens is the merge result exactly if
 each neighbouring pair is the merge result of its own characters. States are
-found as texts need them, like a lazy automaton, into dense tables.
+found as texts need them, like a lazy automaton, into dense tables for the commonest characters and a sparse one
+for all others. Tables of a bounded size are begun anew, also within a text: whatever outlasts a
+step is held as the state itself, not as its number.
 
 Texts are cut into chunks that run in lock step, a vector of states at a time. A chunk's
 state map is composed from what precedes its first word boundary, which depends on the state
@@ -28,10 +30,12 @@ from pyspark.sql import functions as F
 from .common import bounded
 
 LIMIT = 2048
-#: Characters of a chunk, lanes that run at once, and states after which tables are begun anew.
-CHUNK, LANES, MOST_STATES = 2048, 2048, 200_000
-#: Rows and columns by which tables grow, and texts' characters counted together.
-ROWS, COLUMNS, TOGETHER = 32_768, 16, 1 << 22
+#: Characters of a chunk, lanes that run at once, and states, and transitions of rarer characters, after which tables are begun anew.
+CHUNK, LANES, MOST_STATES, MOST_RARE = 2048, 2048, 200_000, 400_000
+#: Rows by which tables grow, their columns (one for each of the commonest characters), and texts' characters counted together.
+ROWS, COLUMNS, TOGETHER = 16_384, 128, 1 << 22
+#: Characters that have a column: ASCII as normalised, and Latin letters with marks; others get the columns left as they come.
+COMMON = [*range(0x20, 0x41), *range(0x5B, 0x7F), 0x0A, 0x09, *range(0xDF, 0x100)]
 
 #: Last tokens are kept as sets of fitting tokens where at most so many tokens may begin.
 FEW = 6
@@ -67,7 +71,6 @@ class Transducer:
             for i in range(1, len(body) + 1):
                 self.beginning.setdefault(body[:i], []).append(t)
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.classes = np.full(0x110000, 255, dtype=np.uint8)
         self.reset()
 
     # --- words ---
@@ -171,27 +174,34 @@ class Transducer:
     # A state is (kind, word state before the last symbol, last symbol, apostrophe lookahead).
 
     def reset(self) -> None:
+        """Begin with no states. Characters keep their numbers."""
+        if not hasattr(self, "chars"):
+            self.chars: list[int] = []
+            self.dense = np.full(0x110000, -1, dtype=np.int32)
+            for c in COMMON[:COLUMNS]:
+                self.symbol_of(c)
         self.ids: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.symbols: dict[int, int] = {}
-        self.chars: list[int] = []
-        self.width = 64
         self.shared: dict = {}  # equal parts of states are one object
         self.pairs.clear()
         self.kept: dict = {}
-        self.next = np.full((1024, self.width), -1, dtype=np.int32)
-        self.emit = np.zeros((1024, self.width), dtype=np.int16)
-        self.dense = np.full(0x110000, -1, dtype=np.int32)
+        self.rare: dict[int, tuple[int, int]] = {}
+        self.next = np.full((1024, COLUMNS), -1, dtype=np.int32)
+        self.emit = np.zeros((1024, COLUMNS), dtype=np.int16)
         self.closing = np.zeros(1024, dtype=np.int32)
         self.id_of((GAP, None, "", ""))
 
+    def full(self) -> bool:
+        return len(self.states) > MOST_STATES or len(self.rare) > MOST_RARE
+
     def id_of(self, state: tuple) -> int:
         found = self.ids.get(state)
         if found is None:
             found = self.ids[state] = len(self.states)
             self.states.append(state)
             if found >= len(self.next):
-                self._grow(ROWS, 0)
+                self.next = np.pad(self.next, ((0, ROWS), (0, 0)), constant_values=-1)
+                self.emit, self.closing = np.pad(self.emit, ((0, ROWS), (0, 0))), np.pad(self.closing, (0, ROWS))
             self.closing[found] = self._close(state)
         return found
 
@@ -200,16 +210,8 @@ class Transducer:
         if found < 0:
             found = self.dense[char] = len(self.chars)
             self.chars.append(char)
-            if found >= self.width:
-                self._grow(0, COLUMNS)
-                self.width += COLUMNS
         return found
 
-    def _grow(self, rows: int, columns: int) -> None:
-        self.next = np.pad(self.next, ((0, rows), (0, columns)), constant_values=-1)
-        self.emit = np.pad(self.emit, ((0, rows), (0, columns)))
-        self.closing = np.pad(self.closing, (0, rows))
-
     def kind(self, char: int) -> int:
         c = chr(char)
         category = unicodedata.category(c)
@@ -276,19 +278,32 @@ class Transducer:
 
     def compile(self, states: np.ndarray, symbols: np.ndarray) -> None:
         for key in np.unique(states.astype(np.int64) * (1 << 32) + symbols):
-            s, a = int(key >> 32), int(key & 0xFFFFFFFF)
-            after, count = self.transition(self.states[s], self.chars[a])
-            to = self.id_of(after)
+            self.follow(int(key >> 32), int(key & 0xFFFFFFFF))
+
+    def follow(self, s: int, a: int) -> tuple[int, int]:
+        """Next state and emitted count, compiled where it isn't yet."""
+        if a < COLUMNS:
+            to = int(self.next[s, a])
+            if to >= 0:
+                return to, int(self.emit[s, a])
+        else:
+            found = self.rare.get(s << 32 | a)
+            if found is not None:
+                return found
+        after, count = self.transition(self.states[s], self.chars[a])
+        to = self.id_of(after)
+        if a < COLUMNS:
             self.next[s, a], self.emit[s, a] = to, count
+        else:
+            self.rare[s << 32 | a] = to, count
+        return to, count
 
     # --- running ---
 
-    def run(self, chunks: list[np.ndarray], entry: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Exit state and count of each chunk of symbols, in lock step; entry states are 0 (between words) unless given."""
+    def run(self, chunks: list[np.ndarray]) -> tuple[list[tuple], np.ndarray]:
+        """Exit state and count of each chunk of symbols, in lock step, entered between words."""
         order = np.argsort([-len(c) for c in chunks], kind="stable")
-        state, count = np.zeros(len(chunks), dtype=np.int64), np.zeros(len(chunks), dtype=np.int64)
-        if entry is not None:
-            state[:] = entry
+        state, count = [self.states[0]] * len(chunks), np.zeros(len(chunks), dtype=np.int64)
         for at in range(0, len(order), LANES):
             lanes = order[at : at + LANES]
             lengths = np.array([len(chunks[i]) for i in lanes])
@@ -297,20 +312,38 @@ class Transducer:
             grid = np.zeros((lengths[0], len(lanes)), dtype=np.int32)
             for k, i in enumerate(lanes):
                 grid[: len(chunks[i]), k] = chunks[i]
-            live = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
-            s, total = state[lanes], np.zeros(len(lanes), dtype=np.int64)
-            nxt, emit, width = self.next.ravel(), self.emit.ravel(), self.width
-            for row, n in zip(grid, live, strict=True):
-                flat = s[:n] * width + row[:n]
+            live, others = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left"), (grid >= COLUMNS).any(axis=1)
+            s, total = np.zeros(len(lanes), dtype=np.int64), np.zeros(len(lanes), dtype=np.int64)
+            nxt, emit = self.next.ravel(), self.emit.ravel()
+            for row, n, other in zip(grid, live, others, strict=True):
+                if other:
+                    # characters without a column, each pair of a state and a character once
+                    which = row[:n] >= COLUMNS
+                    keys, back = np.unique(s[:n][which] << 32 | row[:n][which], return_inverse=True)
+                    found = np.array([self.follow(k >> 32, k & 0xFFFFFFFF) for k in keys.tolist()], dtype=np.int64).reshape(-1, 2)[back]
+                    nxt, emit = self.next.ravel(), self.emit.ravel()
+                flat = s[:n] * COLUMNS + np.where(row[:n] < COLUMNS, row[:n], 0) if other else s[:n] * COLUMNS + row[:n]
                 to = nxt[flat]
                 if to.min() < 0:
-                    missing = to < 0
+                    missing = to < 0 if not other else (to < 0) & ~which
                     self.compile(s[:n][missing], row[:n][missing])
                     nxt, emit = self.next.ravel(), self.emit.ravel()
                     to = nxt[flat]
-                total[:n] += emit[flat]
+                grown = emit[flat]
+                if other:
+                    to[which] = found[:, 0]
+                    grown = grown.astype(np.int64)
+                    grown[which] = found[:, 1]
+                total[:n] += grown
                 s[:n] = to
-            state[lanes], count[lanes] = s, total
+                if self.full():
+                    held = [self.states[i] for i in s.tolist()]
+                    self.reset()
+                    s[:] = [self.id_of(x) for x in held]
+                    nxt, emit = self.next.ravel(), self.emit.ravel()
+            for i, x in zip(lanes.tolist(), s.tolist(), strict=True):
+                state[i] = self.states[x]
+            count[lanes] = total
         return state, count
 
     def normalise(self, text: str) -> str:
@@ -337,19 +370,11 @@ class Transducer:
                 cuts = range(0, len(symbols), CHUNK)
                 owner.append((i, len(chunks), len(chunks) + len(cuts)))
                 chunks.extend(symbols[c : c + CHUNK] for c in cuts)
-        if len(self.states) > MOST_STATES:
-            self._begin_anew(chunks)
         maps = self._maps(chunks)
         for i, a, b in owner:
             totals[i] += self._apply(self._reduce(maps[a:b]))
         return totals
 
-    def _begin_anew(self, chunks: list[np.ndarray]) -> None:
-        chars = np.array(self.chars, dtype=np.uint32)
-        self.reset()
-        for c in chars:
-            self.symbol_of(int(c))
-
     def _split(self, text: str) -> list[str]:
         """The texts between special tokens, which the library finds before all else."""
         parts = [text]
@@ -359,7 +384,7 @@ class Transducer:
             parts = regex.split("|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)), text)
         return parts
 
-    # a map is (head symbols, has a boundary, exit state, count of the rest)
+    # a map is (head symbols, has a boundary, exit state itself, count of the rest)
 
     def _maps(self, chunks: list[np.ndarray]) -> list[tuple]:
         gaps = np.array([self.kind(c) == GAP for c in self.chars] or [False])
@@ -368,7 +393,7 @@ class Transducer:
             at = int(np.argmax(gaps[c]))
             heads.append(at if gaps[c[at]] else len(c))
         state, count = self.run([c[h:] for c, h in zip(chunks, heads, strict=True)])
-        return [(c[:h], h < len(c), int(s), int(n)) for c, h, s, n in zip(chunks, heads, state, count, strict=True)]
+        return [(c[:h], h < len(c), s, int(n)) for c, h, s, n in zip(chunks, heads, state, count, strict=True)]
 
     def _reduce(self, maps: list[tuple]) -> tuple:
         """Compose neighbours until one map is left."""
@@ -381,26 +406,26 @@ class Transducer:
             return (np.concatenate((a[0], b[0])), b[1], b[2], b[3])
         state, count = self._walk(a[2], b[0])
         if b[1]:  # at the boundary the pending word is closed, and what follows is as from between words
-            return (a[0], True, b[2], a[3] + count + int(self.closing[state]) + b[3])
+            return (a[0], True, b[2], a[3] + count + self._close(state) + b[3])
         return (a[0], True, state, a[3] + count)
 
-    def _walk(self, state: int, symbols: np.ndarray) -> tuple[int, int]:
-        count = 0
+    def _walk(self, state: tuple, symbols: np.ndarray) -> tuple[tuple, int]:
+        count, at = 0, self.id_of(state)
         for a in symbols.tolist():
-            to = int(self.next[state, a])
-            if to < 0:
-                self.compile(np.array([state]), np.array([a]))
-                to = int(self.next[state, a])
-            count += int(self.emit[state, a])
-            state = to
-        return state, count
+            at, n = self.follow(at, a)
+            count += n
+            if self.full():
+                state = self.states[at]
+                self.reset()
+                at = self.id_of(state)
+        return self.states[at], count
 
     def _apply(self, m: tuple) -> int:
         """Tokens of a whole text with this map: entered between words, closed at its end."""
-        state, count = self._walk(0, m[0])
+        state, count = self._walk((GAP, None, "", ""), m[0])
         if m[1]:
-            return count + int(self.closing[state]) + m[3] + int(self.closing[m[2]])
-        return count + int(self.closing[state])
+            return count + self._close(state) + m[3] + self._close(m[2])
+        return count + self._close(state)
 
 
 _COMPILED: dict[str, Transducer] = {}
