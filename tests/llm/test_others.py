@@ -338,6 +338,7 @@ def test_packing_of_hard_documents(corpus):
             at += m
         assert at <= 2048
     assert len(places) == packing.lower_bound(np.array([r.length for r in got]))
+    assert {(r.n_sequences, r.least_sequences) for r in got} == {(len(places), len(places))}
     assert packing.pack_documents(corpus.where("false"), path).count() == 0
 
 
@@ -345,7 +346,8 @@ def test_packing_of_hard_documents(corpus):
 def test_packing_in_partitions(spark, low, high):
     rng = np.random.default_rng(low)
     items = [(i, int(n)) for i, n in enumerate(rng.integers(low, high + 1, 3000))]
-    got = packing.pack(spark.createDataFrame(items, "piece_id long, length long"), pack_rows=1000).collect()
+    got, bins = packing.pack(spark.createDataFrame(items, "piece_id long, length long"), pack_rows=1000)
+    got = got.collect()
     length = dict(items)
     assert sorted(r.piece_id for r in got) == sorted(length)
     fill = {}
@@ -354,7 +356,18 @@ def test_packing_in_partitions(spark, low, high):
     assert all(sorted(b)[0][0] == 0 and sum(n for _, n in b) == max(o + n for o, n in b) <= 2048 for b in fill.values())
     alone = best = len(packing.best_fit(np.array([n for _, n in items]))[2])
     bound = packing.lower_bound(np.array([n for _, n in items]))
-    assert bound <= alone and len(fill) <= best * 1.01 + 2
+    assert bound <= alone and bins == len(fill) <= best * 1.01 + 2
+
+
+def test_no_task_packs_much_more_than_its_rows(spark, monkeypatch):
+    """Half of such lengths can't be certified; rounds end, and pools are dealt to as many tasks as they need."""
+    items = [(i, int(n)) for i, n in enumerate(np.random.default_rng(1).integers(500, 1101, 8000))]
+    tables, write = [], packing.materialise
+    monkeypatch.setattr(packing, "materialise", lambda df: tables.append(write(df)) or tables[-1])
+    got, bins = packing.pack(spark.createDataFrame(items, "piece_id long, length long"), pack_rows=500)
+    assert len(tables) > 1 and all(r["count"] < 1000 for t in tables for r in t.groupBy("part").count().collect())
+    assert got.count() == 8000 and got.select("sequence_id").distinct().count() == bins == got.where("offset = 0").count()
+    assert bins <= 1.02 * len(packing.best_fit(np.array([n for _, n in items]))[2])
 
 
 def test_lower_bounds():

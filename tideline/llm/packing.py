@@ -2,9 +2,11 @@
 
 Documents become token pieces of at most the sequence length; partitions pack their pieces by
 best-fit decreasing. A dual-feasible-function lower bound certifies a partition whose
-bin count meets it; partitions with a gap give up their emptier bins, which are pooled into
-fewer partitions and packed again, until the bound is met or one partition is left.
-Only piece lengths are packed; no text or token leaves the tokenizing task.
+bin count meets it; partitions with a gap give up their emptiest bins and those of most pieces, which are dealt to as many partitions as
+they need, mixed anew, and packed again. That ends when every partition is certified, when one is left, or when
+packing the pooled pieces again takes no fewer bins than they had; of the last two ways to pack them the better stays.
+No task ever packs more than about twice PACK_ROWS pieces. The result says how many sequences there are and the
+bound for all pieces together. Only piece lengths are packed; no text or token leaves the tokenizing task.
 """
 
 from __future__ import annotations
@@ -23,12 +25,10 @@ from pyspark.sql import types as T
 from .common import bounded, materialise
 
 LENGTH = 2048
-#: Pieces that one task packs at once, about; and the share of pooled partitions in a round.
-PACK_ROWS, POOL = 20_000, 8
+#: Pieces that one task packs at once: fewer than twice as many, about.
+PACK_ROWS = 20_000
 #: Bins that an uncertified partition gives up for each bin above its bound, and at least.
-GIVEN, LEAST_GIVEN = 16, 64
-#: A bin filled up to this share is never given up for repacking.
-FULL = 0.999
+GIVEN, LEAST_GIVEN = 32, 64
 
 
 # --- tokens ---------------------------------------------------------------------
@@ -125,9 +125,13 @@ def lower_bound(lengths: np.ndarray, size: int = LENGTH) -> int:
     (f_k(x) = floor((k+1)x/size)/k unless (k+1)x/size is whole), and for each
     threshold e large pieces count as whole bins and pieces under e as nothing.
     """
-    if not len(lengths):
+    return lower_bound_of(*np.unique(lengths.astype(np.int64), return_counts=True), size)
+
+
+def lower_bound_of(values: np.ndarray, counts: np.ndarray, size: int = LENGTH) -> int:
+    """The same for distinct lengths and how many pieces have each."""
+    if not len(values):
         return 0
-    values, counts = np.unique(lengths.astype(np.int64), return_counts=True)
     best = -(-int((values * counts).sum()) // size)
     for k in range(1, 40):
         whole = (k + 1) * values
@@ -172,54 +176,68 @@ def best_fit(lengths: np.ndarray, size: int = LENGTH) -> tuple[np.ndarray, np.nd
 PACKED = "piece_id long, length long, part long, bin long, offset long, settled boolean"
 
 
-def _pack(size: int, last: bool):
+def _pack(size: int):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("piece_id", kind="stable")
         lengths = group.length.to_numpy()
         where, offset, fill = best_fit(lengths, size)
         settled = np.ones(len(fill), dtype=bool)
         gap = len(fill) - lower_bound(lengths, size)
-        if not last and gap > 0:
-            # not certified: the emptiest bins go back, in proportion to the gap, so that pools stay small
-            settled[np.argsort(fill, kind="stable")[: max(LEAST_GIVEN, GIVEN * gap)]] = False
-            settled |= fill >= FULL * size
+        if gap > 0:
+            # not certified: the emptiest bins and those of most pieces go back, in proportion to the gap, so that pools stay small
+            some = max(LEAST_GIVEN, GIVEN * gap) // 2
+            settled[np.argsort(fill, kind="stable")[:some]] = False
+            settled[np.argsort(-np.bincount(where, minlength=len(fill)), kind="stable")[:some]] = False
         return pd.DataFrame({"piece_id": group.piece_id, "length": lengths, "part": key[0], "bin": where, "offset": offset, "settled": settled[where]})
 
     return run
 
 
-def pack(items: DataFrame, size: int = LENGTH, pack_rows: int = PACK_ROWS) -> DataFrame:
-    """Pack items (piece_id, length) into bins: (piece_id, sequence_id, offset).
+def pack(items: DataFrame, size: int = LENGTH, pack_rows: int = PACK_ROWS) -> tuple[DataFrame, int]:
+    """Pack items (piece_id, length) into bins: (piece_id, sequence_id, offset), and the number of bins.
 
     Every piece gets a place; offsets in a bin are gapless from 0. Lengths are 1 to size.
     """
+    place = lambda k: F.lit(k << 48).cast("long") + F.col("part") * (1 << 24) + F.col("bin")  # noqa: E731  rounds have ranges of their own: part and bin are below 2**24
+    placed = lambda rows, k: rows.select("piece_id", place(k).alias("sequence_id"), "offset")
     full = items.where(F.col("length") == size).select("piece_id", (-1 - F.col("piece_id")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     open_ = items.where(F.col("length") < size).select("piece_id", "length")
-    n = open_.count()
-    parts, done, round_ = max(1, -(-n // pack_rows)), [full], 0
+    n, round_, done, bins, given, before = open_.count(), 0, [full], full.count(), None, None
     while n:
-        last = parts == 1
-        dealt = open_.withColumn("part", F.pmod(F.xxhash64("piece_id"), F.lit(parts)))
-        packed = materialise(dealt.groupBy("part").applyInPandas(_pack(size, last), PACKED))
-        # rounds have ranges of their own: part and bin are below 2**24
-        place = F.lit(round_ << 48).cast("long") + F.col("part") * (1 << 24) + F.col("bin")
-        done.append(packed.where("settled").select("piece_id", place.alias("sequence_id"), "offset"))
-        open_ = packed.where("not settled").select("piece_id", "length")
-        n = 0 if last else open_.count()
-        parts, round_ = min(max(1, -(-n // pack_rows)), max(1, parts // POOL)), round_ + 1
+        parts = max(1, n // pack_rows)
+        dealt = open_.withColumn("part", F.pmod(F.xxhash64(F.lit(round_), "piece_id"), F.lit(parts)))
+        packed = materialise(dealt.groupBy("part").applyInPandas(_pack(size), PACKED))
+        first = F.col("offset") == 0  # one piece of each bin
+        used, left, n = packed.agg(F.count_if(first), F.count_if(first & ~F.col("settled")), F.count_if(~F.col("settled"))).first()
+        if given is not None and used > given:
+            done.append(placed(before.where("not settled"), round_ - 1))
+            bins += given
+            break
+        if parts == 1 or given is not None and used == given:
+            done.append(placed(packed, round_))
+            bins += used
+            break
+        done.append(placed(packed.where("settled"), round_))
+        bins += used - left
+        open_, given, before, round_ = packed.where("not settled").select("piece_id", "length"), left, packed, round_ + 1
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
-    return out
+    return out, bins
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, size: int = LENGTH) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, size: int = LENGTH, pack_rows: int = PACK_ROWS) -> DataFrame:
     """Pack whole documents into sequences of at most size tokens.
 
     Takes doc_id and text of docs. Returns a row per piece: doc_id, piece, start, length,
-    ids_crc32, sequence_id, offset. Null and empty texts are one end token. Repeated rows and null
+    ids_crc32, sequence_id, offset, and, alike in all rows, n_sequences and least_sequences, which no packing of these pieces
+    can go under. Null and empty texts are one end token. Repeated rows and null
     doc_ids are documents of their own. An empty table gives an empty result.
     """
     made = pieces(docs.select("doc_id", "text"), tokenizer, size).withColumn("piece_id", F.monotonically_increasing_id())
     made = materialise(made)
-    return made.join(pack(made.select("piece_id", "length"), size), "piece_id").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    lengths = made.groupBy("length").count().toPandas()  # at most size rows
+    least = lower_bound_of(lengths["length"].to_numpy(dtype=np.int64), lengths["count"].to_numpy(dtype=np.int64), size)
+    places, bins = pack(made.select("piece_id", "length"), size, pack_rows)
+    certificate = [F.lit(x).cast("long").alias(c) for c, x in (("n_sequences", bins), ("least_sequences", least))]
+    return made.join(places, "piece_id").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *certificate)
