@@ -16,14 +16,20 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one of our own where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir; where it is unset and Spark runs in one process (tests), a local one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tideline-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+#: Folders of tables written and not yet deleted.
+_WRITTEN: list[str] = []
+
+
 def materialise(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """Write df once to the shared folder and read it back: lineage is cut, and a lost executor loses nothing.
 
@@ -31,25 +37,36 @@ def materialise(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tideline-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
     df.write.option("compression", compression).parquet(path)
     spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of what has been written
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN.append(path)
+    out._tideline_path = path
+    return out
 
 
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-_WRITTEN: list[str] = []
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that materialise has written and nothing reads any more."""
+    _WRITTEN.remove(df._tideline_path)
+    _delete(df.sparkSession, df._tideline_path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables that materialise has written in this process; call it when results that read them are done with."""
-    sc = spark.sparkContext
-    while _WRITTEN:
-        path = sc._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+def release(spark: SparkSession, but: DataFrame | None = None) -> None:
+    """Delete the tables that materialise has written in this process, all but one if given; call it when results that read them are done with."""
+    kept = getattr(but, "_tideline_path", None)
+    for path in list(_WRITTEN):
+        if path != kept:
+            _WRITTEN.remove(path)
+            _delete(spark, path)
 
 
 #: Rows and bytes of a batch that goes to Python: texts are long, and a worker holds a few batches at a time.
@@ -223,6 +240,6 @@ def by_groups(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
 BROADCAST_ROWS = 500_000
 
 
-def small(df: DataFrame) -> DataFrame:
-    """df, marked for broadcast if it has at most BROADCAST_ROWS rows. df must be materialised and narrow."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df, marked for broadcast if it has at most so many rows. df must be materialised and narrow."""
+    return F.broadcast(df) if df.count() <= rows else df
