@@ -110,11 +110,12 @@ def distance(a, b):
 def line_rules(rows, edits=2):
     """{(doc_id, line number)} to drop, for rows with distinct (doc_id, text)."""
     lines = [(d, p, line.strip(" ")) for d, t in rows if t is not None for p, line in enumerate(t.split("\n"))]
-    lines = sorted((d, p, x) for d, p, x in lines if len(x) >= line_dedup.MIN_CHARS)
+    lines = sorted((d, p, x) for d, p, x in lines if x)
     gone = set()
     for i, (d, p, x) in enumerate(lines):
         for _, _, y in lines[:i]:
-            if x == y or min(len(x), len(y)) >= line_dedup.NEAR_CHARS and abs(len(x) - len(y)) <= edits and distance(x, y) <= edits:
+            most = min(edits, max(len(x), len(y)) // 4)
+            if x == y or abs(len(x) - len(y)) <= most and distance(x, y) <= most:
                 gone.add((d, p))
                 break
     return gone
@@ -140,28 +141,80 @@ def test_lines_equal_brute_force(spark):
 def test_lines_of_hard_texts(corpus):
     got = line_dedup.dedup_lines(corpus)
     assert got.count() == corpus.count() and got.where("doc_id is null").first().text == "no id here at all"
+    assert line_dedup.dedup_lines(corpus.limit(5), min_chars=16).count() == 5
+    with pytest.raises(ValueError, match="segments"):
+        line_dedup.dedup_lines(corpus, edits=3)
     # alike rows are one document: neither repeats the other
     assert {r.n_repeated for r in got.where("doc_id = 300").collect()} == {0}
 
 
 @pytest.mark.parametrize("edits", [1, 2, 3])
+def test_bit_parallel_distance(spark, edits):
+    rng = np.random.default_rng(10 + edits)
+    pairs = []
+    for _ in range(600):
+        a = "".join(rng.choice(list("abä"), int(rng.integers(max(edits, 2), 14))))
+        x = list(a)
+        for _ in range(int(rng.integers(0, edits + 2))):
+            i, how = int(rng.integers(0, len(x) + 1)), rng.integers(0, 3)
+            x[i : i + (how < 2)] = [] if how == 0 else [str(rng.choice(list("abä")))]
+        b = "".join(x)
+        a, b = (a, b) if len(a) >= len(b) else (b, a)
+        if 0 < len(b) and len(a) - len(b) <= edits:
+            pairs.append((a, b))
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", line_dedup.distance("a", "b", edits).alias("d"))
+    for r in df.collect():
+        want = distance(r.a, r.b)
+        assert r.d == want if want <= edits else r.d > edits
+
+
+@pytest.mark.parametrize("edits", [1, 2])
 def test_probes_find_every_near_line(spark, edits):
     rng = np.random.default_rng(edits)
     base = "".join(rng.choice(list("abcde "), 50)).strip().ljust(45, "x")
     lines = [base]
     for _ in range(120):
-        x = list(base)
+        x = list(lines[int(rng.integers(0, len(lines)))])
         for _ in range(int(rng.integers(1, edits + 1))):
             i, how = int(rng.integers(0, len(x))), rng.integers(0, 3)
             x[i : i + (how < 2)] = [] if how == 0 else [str(rng.choice(list("abcde")))]
         lines.append("".join(x))
-    df = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(dict.fromkeys(lines))], "line_id long, line string, n int")
-    keyed = df.withColumn("keys", line_dedup.segment_keys("line", "n", edits)).select("line_id", "keys").persist()
-    pairs = lambda text: {tuple(sorted((r.a, r.b))) for r in line_dedup.near_pairs(keyed, edits, text).collect()}
-    met, fewer = pairs(None), pairs(lambda ids: df.join(ids, "line_id"))
-    rows = df.collect()
-    want = {(r.line_id, s.line_id) for r in rows for s in rows if r.line_id < s.line_id and distance(r.line, s.line) <= edits}
-    assert want and want <= fewer <= met
+    lines += ["abcd", "abd", "abce", "xyz", "xy", "xyzw", "abcdefgh", "abXdefYh", "abc", "ab", "a"]
+    lines = list(dict.fromkeys(x.strip() for x in lines))
+    rng.shuffle(lines)
+    rows = [(i, x) for i, x in enumerate(lines)]
+    got = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), edits).where("n_near = 1").collect()}
+    assert got == {d for d, _ in line_rules(rows, edits)} and len(got) > 60
+
+
+def test_template_lines_are_not_compared_in_pairs(spark, monkeypatch):
+    """Thousands of lines that share most segments: as brute force says, from a few pairs a line."""
+    rng = np.random.default_rng(4)
+    numbers = rng.choice(10**6, 1500, replace=False)
+    lines = [f"Invoice number {n:06d} of the year" for n in numbers.tolist()] + [f"Invoice number of the {w} long year and the one after it" for w in ("first", "fjrst", "last")]
+    pairs, write = [], line_dedup.materialise
+
+    def count(df):
+        out = write(df)
+        if out.columns == ["a", "b"]:
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialise", count)
+    got = {r.doc_id for r in line_dedup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("n_near = 1").collect()}
+    digits = np.array([[int(c) for c in f"{n:06d}"] for n in numbers])
+    want, unsure = {1501}, []
+    for i in range(1, 1500):
+        if ((digits[:i] != digits[i]).sum(1) <= 2).any():
+            want.add(i)
+        else:
+            unsure.append(i)
+    for i in unsure:  # a digit dropped and another put in
+        fewer = {f"{numbers[i]:06d}"[:k] + f"{numbers[i]:06d}"[k + 1 :] for k in range(6)}
+        if any(f"{n:06d}"[:k] + f"{n:06d}"[k + 1 :] in fewer for n in numbers[:i].tolist() for k in range(6)):
+            want.add(i)
+    assert got == want and sum(pairs) < 1500 * 1500 / 8
+
 
 
 # --- embeddings ---
