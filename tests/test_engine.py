@@ -1,5 +1,6 @@
 """The time-series engine: semantics of time, nulls and causality, models against closed forms, and the whole program."""
 
+import dataclasses
 import json
 import math
 from datetime import datetime, timedelta
@@ -330,7 +331,22 @@ def test_gates():
     assert [gates.direction(x, 1100, 7, True) for x in (1092, 1093, 1107, 1108)] == ["raise", "hold", "hold", "lower"]
 
 
-def test_guards_and_json(tmp_path):
+def test_saved_models_predict_alike(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    rows = [(i, None if i % 11 == 0 else float(a), float(b), float(2 * a - b), 2 if a > 0 else 0) for i, (a, b) in enumerate(rng.normal(size=(200, 2)))]
+    df = spark.createDataFrame(rows, "id long, `a.x` double, b double, y double, c int")
+    for name, made in (("ridge", mo.ridge(df, ["a.x", "b"], "y", 2.0)), ("softmax", mo.softmax(df, ["a.x", "b"], "c"))):
+        made.save(spark, str(tmp_path / name))
+        again = mo.load(spark, str(tmp_path / name))
+        assert (again.preparation, again.kind, again.classes) == (made.preparation, made.kind, made.classes)
+        want, got = (m.predict(df, ["id"]).orderBy("id").collect() for m in (made, again))
+        assert want == got
+    clusters = mo.Clusters(mo.prepare(df, ["a.x", "b"], robust=True), ((0.0, 0.5), (1.0, -1.0)), {"selected_k": 2})
+    clusters.save(spark, str(tmp_path / "clusters"))
+    assert mo.load_clusters(spark, str(tmp_path / "clusters")) == clusters
+
+
+def test_guards_and_json(spark, tmp_path, monkeypatch):
     source = tmp_path / "in"
     source.mkdir()
     for bad in (source, source / "out"):
@@ -339,11 +355,13 @@ def test_guards_and_json(tmp_path):
     io.assert_output_safe(source, tmp_path / "out")
     assert io.to_jsonable({"a": np.float64("nan"), "b": [np.int64(3), T0], "c": {1: float("inf")}, "d": frozenset("ba")}) == {"a": None, "b": [3, str(T0)], "c": {"1": None}, "d": ["a", "b"]}
     (tmp_path / "f").write_bytes(b"abc")
-    before = io.file_metadata(tmp_path / "f")
-    assert before["sha256"].startswith("ba7816bf") and io.assert_unchanged(before, tmp_path / "f") == before
+    before = io.source_metadata(spark, str(tmp_path / "f"))
+    assert before["sha256"].startswith("ba7816bf") and io.assert_unchanged(before, io.source_metadata(spark, str(tmp_path / "f")))["unchanged"]
+    monkeypatch.setattr(io, "MOST_HASHED", 2)
+    assert io.source_metadata(spark, str(tmp_path / "f"))["sha256"].startswith("ba7816bf")
     (tmp_path / "f").write_bytes(b"abd")
     with pytest.raises(RuntimeError):
-        io.assert_unchanged(before, tmp_path / "f")
+        io.assert_unchanged(before, io.source_metadata(spark, str(tmp_path / "f")))
     assert io.package_version("pyspark") and io.package_version("no-such-package") is None
     assert "1.5000" in report.metric_cards({"x": 1.5, "y": {}}) and "y" not in report.metric_cards({"y": {}})
 
@@ -389,9 +407,11 @@ def test_weekly_skips_single_class_weeks(spark):
 
 def test_whole_program(spark, tmp_path):
     rng = np.random.default_rng(5)
-    n, step = 5 * 7 * 24 * 60 // 6, 6  # five weeks, a reading for each minute of every sixth's length: the minute grid is complete
-    n = 3200
-    t = pd.date_range("2024-01-01", periods=n, freq="1min")
+    n = 3600  # from one calendar week into the next, so that there is a weekly fold
+    t = pd.date_range("2024-01-13 12:00", periods=n, freq="1min")
+    # a smaller plant: the stable minutes' columns, the temperature and the ratios
+    few_columns = (KILN.temperature, *KILN.stable_above, *KILN.chemistry_ratios)
+    plant = dataclasses.replace(KILN, process=few_columns, chemistry=KILN.chemistry[:3])
     wave = np.sin(np.arange(n) / 40.0)
     data = {"time": t}
     for i, c in enumerate(KILN.process[:16]):
@@ -401,18 +421,15 @@ def test_whole_program(spark, tmp_path):
         data[c] = np.repeat(rng.normal(size=n // 40 + 1), 40)[:n] + i + (np.arange(n) // 80 % 3) * 5.0
     data[KILN.grade] = np.repeat(rng.integers(1, 6, size=n // 20 + 1), 20)[:n].astype(float)
     data[KILN.assay] = np.repeat(rng.normal(size=n // 30 + 1).round(2), 30)[:n]
-    del step
     pd.DataFrame(data).to_parquet(tmp_path / "in.parquet", coerce_timestamps="us", allow_truncated_timestamps=True)
     cfg = {"data_path": "in.parquet", "output_dir": "out", "cluster_k_min": 2, "cluster_k_max": 2, "feature_windows_minutes": [10], "weekly_min_train_weeks": 1, "inlet_chemistry_alignment_step_minutes": 360, "fcao_delay_candidates_minutes": {"outmill_chemistry": [0, 30], "preheater_calciner_kiln": [0], "kiln_head_grate_cooler": [0]}}
     (tmp_path / "c.json").write_text(json.dumps(cfg))
-    import dataclasses
-
     assert RunConfig("a", "b").cluster_restarts == 20
     loaded = io.load_config(tmp_path / "c.json")
     few = dataclasses.replace(loaded, cluster_restarts=1)
     real, io.load_config = io.load_config, lambda _: few
     try:
-        metrics = program.run(spark, tmp_path / "c.json")
+        metrics = program.run(spark, tmp_path / "c.json", plant)
     finally:
         io.load_config = real
     out = tmp_path / "out"
@@ -420,7 +437,27 @@ def test_whole_program(spark, tmp_path):
     assert metrics["secondary_air_temperature"]["n"] > 0 and set(metrics) >= {"kiln_state", "kiln_state_center", "fcao_regression", "fcao_trend"}
     signal = json.loads((out / "latest_shadow_signal.json").read_text())
     assert signal["actuator_recommendation"] is None and json.loads((tmp_path / "run_manifest.json").read_text())["source"]["before"]["sha256"]
+    # weekly folds exist, and each is fitted on what was known before it
+    weekly = {task: metrics[task]["weekly_rolling_validation"] for task in ("secondary_air_temperature", "secondary_air_trend", "kiln_state", "kiln_state_center", "fcao_regression", "fcao_trend")}
+    for task, found in weekly.items():
+        assert [f["test_week"] for f in found["folds"]] == ["2024-01-15"] and found["summary"]["fold_count"] > 0, task
+        assert all(f["fitted"]["cluster_fit"]["last_fit_event"] < f["test_week"] for f in found["folds"] if "fitted" in f)
+    manifest = json.loads((tmp_path / "run_manifest.json").read_text())
+    assert manifest["source"]["unchanged"] and manifest["config_values"]["cluster_k_max"] == 2 and manifest["cluster_fit"]["selected_k"] == 2 and manifest["code"]["plans/program.py"] and manifest["code"]["plants/kiln.json"]
+    # saved models serve a new session: columns, clusters and predictions as in the run
+    names = json.loads((out / "models" / "columns.json").read_text())
+    clusters = mo.load_clusters(spark, str(out / "models" / "material_clusters"))
+    assert len(clusters.centres) == 2 and clusters.meta["selected_k"] == 2
+    minute = spark.read.parquet(str(next(out.glob("minute_cache-*"))))
+    store = program.FeatureStore(minute, plant, few)
+    rows = store.plain.join(clusters.place(store.filled, "prediction_time", wi.CLUSTER_COLUMNS), "prediction_time")
+    last = pd.read_csv(out / "predictions_tail.csv").tail(3)
+    again = mo.load(spark, str(out / "models" / "temp")).predict(rows.select("prediction_time", *[F.col(f"`{c}`") for c in names["series"]]), ["prediction_time"]).toPandas().set_index("prediction_time")
+    for _, r in last.iterrows():
+        assert again.predicted[pd.Timestamp(r.prediction_time)] == pytest.approx(r.predicted, rel=1e-6)
     compared = program.compare_runs(spark, out / "metrics.json", metrics)
+    assert all(t["before_summary"]["fold_count"] == t["after_summary"]["fold_count"] == len(t["folds"]) for t in compared["tasks"].values())
+    assert compared["tasks"]["fcao_regression"]["folds"][0]["fitted_after"]["delay_selection"]["selected_delays_minutes"]
     assert compared["status"] == "complete" and program.compare_runs(spark, out / "none.json", metrics)["status"] == "reference_not_found"
 
 

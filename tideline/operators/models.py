@@ -6,17 +6,18 @@ and a column without any value is dropped, none of which Spark ML's own transfor
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import events as ev
@@ -32,6 +33,10 @@ class Preparation:
     centre: dict[str, float]
     scale: dict[str, float]
 
+    @staticmethod
+    def of(given: Mapping) -> Preparation:
+        return Preparation(tuple(given["columns"]), dict(given["median"]), dict(given["centre"]), dict(given["scale"]))
+
     def column(self, c: str) -> Column:
         x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(self.median[c]))
         return (x - F.lit(self.centre[c])) / F.lit(self.scale[c])
@@ -80,8 +85,25 @@ class Fitted:
         shares = F.map_from_arrays(labels.cast("array<string>"), F.transform(seen, lambda x: x / total))
         return out.select(*[F.col(f"`{c}`") for c in keep], best.alias(name), shares.alias(f"{name}_probability"))
 
-    def save(self, path: str) -> None:
-        PipelineModel([self.model]).write().overwrite().save(path)
+    def save(self, spark: SparkSession, path: str) -> None:
+        """The model, and beside it what it takes to use it: preparation, kind and classes."""
+        PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+        write_text(spark, f"{path}/about", json.dumps({"kind": self.kind, "classes": list(self.classes), "preparation": asdict(self.preparation)}, ensure_ascii=False))
+
+
+def load(spark: SparkSession, path: str) -> Fitted:
+    """What Fitted.save has written; it predicts alike."""
+    about = json.loads(read_text(spark, f"{path}/about"))
+    return Fitted(Preparation.of(about["preparation"]), PipelineModel.load(f"{path}/model").stages[0], about["kind"], tuple(about["classes"]))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A short text as one file in a folder, on any file system that Spark writes to."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0].rstrip("\n")
 
 
 def ridge(df: DataFrame, columns: Sequence[str], target: str, alpha: float) -> Fitted:
@@ -118,15 +140,17 @@ def softmax(df: DataFrame, columns: Sequence[str], target: str, most_iterations:
 
 @dataclass
 class Clusters:
+    """Centres over prepared columns, with what is known of the fit."""
+
     preparation: Preparation
-    model: KMeansModel
+    centres: tuple[tuple[float, ...], ...]
     meta: dict = field(default_factory=dict)
 
     def columns(self) -> tuple[Column, Column]:
-        """Nearest centre and the Euclidean distance to it, as expressions over the filled columns."""
+        """Nearest centre (the first of equals) and the Euclidean distance to it, as expressions over the filled columns."""
         z = [self.preparation.column(c) for c in self.preparation.columns]
         far = []
-        for centre in self.model.clusterCenters():
+        for centre in self.centres:
             total = F.lit(0.0)
             for x, m in zip(z, centre, strict=True):
                 total = total + (x - F.lit(float(m))) * (x - F.lit(float(m)))
@@ -134,6 +158,24 @@ class Clusters:
         least = F.least(*far) if len(far) > 1 else far[0]
         return F.array_position(F.array(*far), least).cast("int") - 1, least
 
+    def place(self, rows: DataFrame, time: str, names: Sequence[str]) -> DataFrame:
+        """(time, cluster, distance) of filled rows, under the names given."""
+        which, far = self.columns()
+        return rows.select(time, which.cast("float").alias(names[0]), far.cast("float").alias(names[1]))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        write_text(spark, path, json.dumps({"preparation": asdict(self.preparation), "centres": self.centres, "meta": self.meta}, ensure_ascii=False))
+
+
+def load_clusters(spark: SparkSession, path: str) -> Clusters:
+    given = json.loads(read_text(spark, path))
+    return Clusters(Preparation.of(given["preparation"]), tuple(map(tuple, given["centres"])), given["meta"])
+
+
+def cluster_means(placed: DataFrame, cluster: str, columns: Sequence[str]) -> DataFrame:
+    """Mean of each column by cluster; nulls don't count."""
+    return placed.groupBy(cluster).agg(*[F.avg(f"`{c}`").alias(c) for c in columns]).orderBy(cluster)
+
 
 #: Points whose silhouette is measured; each is compared with all others of the sample.
 SILHOUETTE_ROWS = 5_000
@@ -173,7 +215,7 @@ def fit_clusters(events: DataFrame, columns: Sequence[str], k_min: int, k_max: i
     for x in (sample, data, events):
         x.unpersist()
     meta = {"selected_k": best, "silhouette_by_k": {str(k): s for k, s in scores.items()}, "chemistry_change_events": n, "fit_start": str(span[0]), "last_fit_event": str(span[1]), "future_fill_used": False}
-    return Clusters(prep, fitted[best], meta)
+    return Clusters(prep, tuple(tuple(map(float, c)) for c in fitted[best].clusterCenters()), meta)
 
 
 # --- delays -------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.metrics import correlation, fisher_columns, with_ranks
 from ..operators.events import lagged_pairs
-from ..operators.timebase import forward_fill
+from ..operators.timebase import forward_fill_chunked
 from ..sources.io import scan_present
 from ..spec import SeriesSpec
 
@@ -24,7 +24,7 @@ def lag_scan(minute: DataFrame, pairs: Mapping[str, tuple[str, str]], lags: Iter
     """
     lags, out = list(lags), None
     names = sorted({c for p in pairs.values() for c in p})
-    filled = minute.withColumns(forward_fill(names, order, by))
+    filled = forward_fill_chunked(minute, names, order, by)
     for component, (early, late) in pairs.items():
         rows = lagged_pairs(filled, early, late, lags, order, by).withColumn("component", F.lit(component))
         out = rows if out is None else out.unionByName(rows)

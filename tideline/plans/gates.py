@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import operator
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -10,27 +12,66 @@ from pyspark.sql import functions as F
 
 from ..spec import RunConfig
 
-LEAST_IMPROVEMENT, LEAST_MACRO_F1, LEAST_RECALL = 0.10, 0.60, 0.70
+@dataclass(frozen=True)
+class Rule:
+    """A condition of a task's gate: the score at path (from the metrics' root), compared with a limit, or with the score at another path."""
 
+    task: str
+    path: str
+    compare: str
+    limit: float | bool | str
+
+    def holds(self, score: Callable[[str], Any]) -> bool:
+        value, limit = score(self.path), score(self.limit) if isinstance(self.limit, str) else self.limit
+        return value is not None and limit is not None and bool(COMPARE[self.compare](value, limit))
+
+    def __str__(self) -> str:
+        return f"{self.path.replace('weekly_rolling_validation.summary.', 'weekly ')} {self.compare} {self.limit}"
+
+
+COMPARE: dict[str, Callable[[Any, Any], bool]] = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "is": operator.eq}
+_WEEKLY = "weekly_rolling_validation.summary"
+
+# Tasks, scores and limits of the gates.
+RULES = (
+    Rule("secondary_air_temperature", f"secondary_air_temperature.{_WEEKLY}.fold_count", ">", 0),
+    Rule("secondary_air_temperature", f"secondary_air_temperature.{_WEEKLY}.all_folds_model_beats_baseline", "is", True),
+    Rule("secondary_air_temperature", f"secondary_air_temperature.{_WEEKLY}.mean_improvement", ">=", 0.10),
+    Rule("secondary_air_trend", f"secondary_air_trend.{_WEEKLY}.fold_count", ">", 0),
+    Rule("secondary_air_trend", f"secondary_air_trend.{_WEEKLY}.mean_model_macro_f1", ">=", 0.60),
+    Rule("kiln_state", f"kiln_state.{_WEEKLY}.fold_count", ">", 0),
+    Rule("kiln_state", f"kiln_state.{_WEEKLY}.mean_model_risk_class_recall", ">=", 0.70),
+    Rule("fcao", f"fcao_regression.{_WEEKLY}.fold_count", ">", 0),
+    Rule("fcao", f"fcao_regression.{_WEEKLY}.all_folds_model_beats_baseline", "is", True),
+    Rule("fcao", "fcao_regression.mae", "<", "fcao_regression.persistence_baseline_mae"),
+)
+
+
+def at_path(metrics: Mapping[str, Any], path: str) -> Any:
+    """The value at a dotted path of nested mappings; None where it ends early."""
+    found: Any = metrics
+    for key in path.split("."):
+        found = found.get(key) if isinstance(found, Mapping) else None
+    return found
 
-def promotion(metrics: Mapping[str, Any]) -> dict[str, Any]:
-    """Which tasks pass their gate. A direction may be given only if all do; an actuator setting never."""
-    weekly = lambda task: metrics[task]["weekly_rolling_validation"]["summary"]
-    at_least = lambda x, least: x is not None and x >= least
-    temp, trend, state, assay = (weekly(t) for t in ("secondary_air_temperature", "secondary_air_trend", "kiln_state", "fcao_regression"))
-    primary = metrics["fcao_regression"]
-    passed = {
-        "secondary_air_temperature": temp["fold_count"] > 0 and temp["all_folds_model_beats_baseline"] and at_least(temp["mean_improvement"], LEAST_IMPROVEMENT),
-        "secondary_air_trend": trend["fold_count"] > 0 and at_least(trend["mean_model_macro_f1"], LEAST_MACRO_F1),
-        "kiln_state": state["fold_count"] > 0 and at_least(state.get("mean_model_risk_class_recall"), LEAST_RECALL),
-        "fcao": assay["fold_count"] > 0 and assay["all_folds_model_beats_baseline"] and primary["mae"] < primary["persistence_baseline_mae"],
-    }
-    rule = {
-        "secondary_air_temperature": "every weekly fold beats persistence and the mean improvement is at least 10 %", "secondary_air_trend": "weekly mean macro-F1 is at least 0.60",
-        "kiln_state": "weekly mean recall of the bad class is at least 0.70", "fcao": "every weekly fold and the primary test beat persistence",
-    }
-    tasks = {t: {"passed": bool(ok), "status": "promoted" if ok else "not_promoted", "rule": rule[t]} for t, ok in passed.items()}
-    return tasks | {"objective_direction_allowed": all(map(bool, passed.values())), "actuator_recommendation_allowed": False}
+
+def promotion(metrics: Mapping[str, Any], rules: Sequence[Rule] = RULES) -> dict[str, Any]:
+    """Which tasks pass all rules of their gate. A direction may be given only if all do; an actuator setting never."""
+    of: dict[str, list[Rule]] = {}
+    for rule in rules:
+        of.setdefault(rule.task, []).append(rule)
+    passed = {task: all(rule.holds(lambda path: at_path(metrics, path)) for rule in mine) for task, mine in of.items()}
+    tasks = {t: {"passed": ok, "status": "promoted" if ok else "not_promoted", "rule": "; ".join(map(str, of[t]))} for t, ok in passed.items()}
+    return tasks | {"objective_direction_allowed": all(passed.values()), "actuator_recommendation_allowed": False}
+
+
+def gate_column(scores: Mapping[str, Column], rules: Sequence[Rule]) -> Column:
+    """Whether all rules hold for the scores of a row, given as a column for each path; a null score fails."""
+    ok = F.lit(True)
+    for rule in rules:
+        limit = scores[rule.limit] if isinstance(rule.limit, str) else F.lit(rule.limit)
+        ok = ok & F.coalesce(COMPARE[rule.compare](scores[rule.path], limit), F.lit(False))
+    return ok
 
 
 def direction(predicted: float, target: float, deadband: float, promoted: bool) -> str | None:
@@ -55,21 +96,26 @@ def compare_folds(before: DataFrame, after: DataFrame) -> DataFrame:
     return side(before, "before").join(side(after, "after"), "fold", "full_outer").orderBy("fold")
 
 
+def _span(first: int, last: int | None = None) -> str:
+    """Minutes about the prediction time, in words."""
+    at = lambda m: "prediction_time" if not m else f"prediction_time{m:+d}m"
+    return at(first) if last is None else f"{at(first)} to {at(last)}, both included"
+
+
 def alignment_contract(cfg: RunConfig, delays: Mapping[str, int]) -> dict[str, Any]:
-    """What every task's features and target may see, in words made from the settings."""
-    back = max(cfg.feature_windows_minutes) - 1
-    ahead = lambda a, b: f"prediction_time+{a}m through prediction_time+{b}m inclusive"
-    seen = f"prediction_time-{back}m through prediction_time"
-    task = lambda target, known: {"prediction_time": "bucket_end of the minute", "feature_window": seen, "target_window": target, "result_availability": known}
-    temp = ahead(cfg.temperature_future_start_minutes, cfg.temperature_future_end_minutes)
-    return {
-        "minute_bucket": {"interval": "[bucket_start, bucket_end)", "bucket_end": "bucket_start + 1 minute", "prediction_time": "bucket_end"},
-        "secondary_air_temperature": task(temp, "every target minute is known and stable"),
-        "secondary_air_trend": task(f"{temp}, against the mean of the last 10 minutes", "as the temperature"),
-        "kiln_state_center_30m": task(f"prediction_time+{cfg.kiln_state_horizon_minutes}m", "the label of that minute"),
-        "kiln_state_window": task(ahead(cfg.kiln_state_label_start_minutes, cfg.kiln_state_label_end_minutes), "every label of the window") | {"window_label_rule": cfg.kiln_state_window_rule, "site_approval": "not_claimed"},
-        "fcao_event": {
-            "prediction_time": f"event time - {cfg.fcao_prediction_horizon_minutes}m", "feature_window": {g: f"prediction_time-{d}m and its history" for g, d in delays.items()} | {"lab_release": "observed_prior_only"},
-            "target_window": "one assay change", "previous_fcao": "last assay observed strictly before prediction_time",
-        },
-    }
+    """What the features and the target of each task may see, made from the settings: a row of minutes for each task."""
+    a, b = cfg.temperature_future_start_minutes, cfg.temperature_future_end_minutes
+    c, d = cfg.kiln_state_label_start_minutes, cfg.kiln_state_label_end_minutes
+    targets = {
+        "secondary_air_temperature": {"minutes": (a, b), "value": "mean", "needs": "a stable, known temperature in every minute"},
+        "secondary_air_trend": {"minutes": (a, b), "value": "mean less the mean of the last 10 minutes, beyond a dead band", "needs": "as the temperature"},
+        "kiln_state_center_30m": {"minutes": (cfg.kiln_state_horizon_minutes, None), "value": "label", "needs": "that minute's label"},
+        "kiln_state_window": {"minutes": (c, d), "value": cfg.kiln_state_window_rule, "needs": "every minute's label", "site_approval": "not_claimed"},
+        "fcao_event": {"minutes": (cfg.fcao_prediction_horizon_minutes, None), "value": "one assay change", "needs": "a result observed strictly before the prediction time"},
+    }
+    features = _span(1 - max(cfg.feature_windows_minutes), 0)
+    late = {group: f"{_span(-minutes)} and its history" for group, minutes in delays.items()} | {"lab_release": "observed_prior_only"}
+    rows = {task: {k: v for k, v in said.items() if k != "minutes"} | {"target_window": _span(*said["minutes"]), "feature_window": late if task == "fcao_event" else features} for task, said in targets.items()}
+    return {"minute_bucket": {"interval": "[bucket_start, bucket_end)", "prediction_time": "bucket_end"}} | rows
+
+

@@ -33,7 +33,7 @@ LEAST_EVENTS = 20
 
 def chemistry_events(minute: DataFrame, spec: SeriesSpec, before: datetime) -> DataFrame:
     """Changes of the forward-filled chemistry before a time, with its time."""
-    filled = minute.select(TIME, *[c.alias(n) for n, c in tb.forward_fill(spec.chemistry, TIME).items()])
+    filled = tb.forward_fill_chunked(minute.select(TIME, *[F.col(f"`{c}`") for c in spec.chemistry]), spec.chemistry, TIME)
     return ev.vector_changes(filled, spec.chemistry, TIME).where(F.col(TIME) < F.lit(before))
 
 
@@ -44,6 +44,8 @@ class FeatureStore:
         self.minute, self.spec, self.cfg = minute, spec, cfg
         make = lambda rows, by: wi.backward_features(rows, spec.process, cfg.feature_windows_minutes, TIME, by, ["__own"])
         self.plain = wi.chunked(minute, make, before=max(cfg.feature_windows_minutes), order=TIME).persist(StorageLevel.MEMORY_AND_DISK)
+        chemistry = minute.select(TIME, *[F.col(f"`{c}`") for c in spec.chemistry])
+        self.filled = tb.forward_fill_chunked(chemistry, spec.chemistry, TIME).persist(StorageLevel.MEMORY_AND_DISK)
         self.columns = [c for c in self.plain.columns if c != TIME] + list(wi.CLUSTER_COLUMNS)
         self.clusters: dict[datetime, mo.Clusters] = {}
         self.at = validation.remembered(self._at)
@@ -56,17 +58,15 @@ class FeatureStore:
 
     def _at(self, cutoff: datetime) -> tuple[DataFrame, Sequence[str], dict]:
         clusters = self.fit(cutoff)
-        filled = self.minute.select(TIME, *[c.alias(n) for n, c in tb.forward_fill(self.spec.chemistry, TIME).items()])
-        which, far = clusters.columns()
-        placed = filled.select(TIME, which.cast("float").alias(wi.CLUSTER_COLUMNS[0]), far.cast("float").alias(wi.CLUSTER_COLUMNS[1]))
-        return self.plain.join(placed, TIME).persist(StorageLevel.MEMORY_AND_DISK), self.columns, {"cluster_fit": clusters.meta | {"fit_end": str(cutoff)}}
+        # the features are kept once; a cutoff only adds two columns to the plan
+        placed = clusters.place(self.filled, TIME, wi.CLUSTER_COLUMNS)
+        return self.plain.join(placed, TIME), self.columns, {"cluster_fit": clusters.meta | {"fit_end": str(cutoff)}}
 
     def profile(self, cutoff: datetime) -> DataFrame:
         """Mean raw chemistry of each cluster at the events it was fitted on."""
         which, _ = self.fit(cutoff).columns()
         seen = chemistry_events(self.minute, self.spec, cutoff).select(TIME, which.alias("material_cluster"))
-        means = [F.avg(f"`{c}`").alias(c) for c in (*self.spec.chemistry, *self.spec.chemistry_ratios)]
-        return seen.join(self.minute, TIME).groupBy("material_cluster").agg(*means).orderBy("material_cluster")
+        return mo.cluster_means(seen.join(self.minute, TIME), "material_cluster", (*self.spec.chemistry, *self.spec.chemistry_ratios))
 
 
 def targets(minute: DataFrame, spec: SeriesSpec, cfg: RunConfig) -> DataFrame:
@@ -169,6 +169,7 @@ def assay_models(store: FeatureStore, cutoff: datetime, spec: SeriesSpec, cfg: R
         late = ev.delayed_features(x, known, delays, spec.delay_groups, columns).join(known.select(TIME, F.col("previous_fcao").alias("previous_fcao_input")), TIME)
         names = [*columns, "previous_fcao"]
         wi.check_features(names, spec, {"previous_fcao"})
+        # a row for each event: small, and read by several fits
         return late.withColumnRenamed("previous_fcao_input", "previous_fcao").persist(), names, fitted | {"delay_selection": evidence}
 
     features = validation.remembered(at)
@@ -218,7 +219,15 @@ def compare_runs(spark: SparkSession, reference: str | Path, metrics: dict) -> d
     if not path.exists():
         return {"status": "reference_not_found", "reference_path": str(path)}
     before = json.loads(path.read_text(encoding="utf-8"))
-    tasks = {t: [r.asDict() for r in gates.compare_folds(fold_table(spark, before, t, s), fold_table(spark, metrics, t, s)).collect()] for t, s in TASK_SCORES.items()}
+    weekly = lambda m, t: m.get(t, {}).get("weekly_rolling_validation", {})
+    tasks = {}
+    for task, score in TASK_SCORES.items():
+        folds = gates.compare_folds(fold_table(spark, before, task, score), fold_table(spark, metrics, task, score)).collect()  # a row for each week
+        fitted = {side: {f["fold"]: f.get("fitted") for f in weekly(m, task).get("folds", [])} for side, m in (("before", before), ("after", metrics))}
+        tasks[task] = {
+            "before_summary": weekly(before, task).get("summary"), "after_summary": weekly(metrics, task).get("summary"),
+            "folds": [r.asDict() | {f"fitted_{side}": found.get(r["fold"]) for side, found in fitted.items()} for r in folds],
+        }
     return {"status": "complete", "reference_path": str(path), "tasks": tasks}
 
 
@@ -228,7 +237,7 @@ def run(spark: SparkSession, config: str | Path, spec: SeriesSpec = KILN) -> dic
     cfg = io.load_config(config)
     out = io.output_folder(cfg)
     io.assert_output_safe(cfg.data_path, out)
-    before = io.file_metadata(cfg.data_path)
+    before = io.source_metadata(spark, cfg.data_path)
     provenance = audit.audit_source(spark, cfg.data_path, spec)
     minute = io.minute_cache(spark, cfg.data_path, str(out), spec, cfg.reuse_minute_cache).persist(StorageLevel.MEMORY_AND_DISK)
     wi.check_gapless(minute, TIME)
@@ -251,16 +260,21 @@ def run(spark: SparkSession, config: str | Path, spec: SeriesSpec = KILN) -> dic
     status = gates.promotion(metrics)
     signal = latest_signal(store, cutoff, fitted, assay, spec, cfg, status)
     for name, model in (fitted | {"fcao_regression": assay["reg"], "fcao_trend": assay["trend"]}).items():
-        model.save(str(out / "models" / name))
+        model.save(spark, str(out / "models" / name))
+    store.fit(cutoff).save(spark, str(out / "models" / "material_clusters"))
+    io.write_json(out / "models" / "columns.json", {"series": store.columns, "assay": [*store.columns, "previous_fcao"], "delays_minutes": assay["delays"]})
     span = minute.agg(F.count("*").alias("minute_rows"), F.min(TIME).alias("start"), F.max(TIME).alias("end"), F.count_if(tb.is_stable(spec.stable_above)).alias("stable_minutes"), F.count(F.col(f"`{spec.grade}`")).alias("grade_minutes"))
     summary = span.first().asDict() | {"source_file": cfg.data_path, "feature_count": len(store.columns), "material_clusters": store.fit(cutoff).meta["selected_k"], "assay_events": more["fcao_regression"]["event_samples"]}
     io.write_json(out / "metrics.json", metrics)
     io.write_json(out / "latest_shadow_signal.json", signal)
     io.write_csv(tail, out / "predictions_tail.csv")
     report.write_html(out / "report.html", metrics, signal, summary)
-    after = io.assert_unchanged(before, cfg.data_path)
+    source = io.assert_unchanged(before, io.source_metadata(spark, cfg.data_path)) | {"columns": io.parquet_columns(spark, cfg.data_path)}
     manifest = cfg.run_manifest_path or str(Path(config).resolve().parent / "run_manifest.json")
-    report.write_manifest(manifest, config, out, started, source={"before": before, "after": after, "columns": io.parquet_columns(spark, cfg.data_path)}, feature_contract=contract, source_provenance_audit=provenance, promotion_status=status, data_summary=summary)
+    report.write_manifest(
+        manifest, config, out, started, config_values=cfg, source=source, feature_contract=contract, source_provenance_audit=provenance, promotion_status=status, data_summary=summary,
+        cluster_fit=store.fit(cutoff).meta | {"fit_end": str(cutoff)},
+    )
     return metrics
 
 

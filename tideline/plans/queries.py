@@ -311,7 +311,7 @@ def event_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
     "group_delay_align",
     """
     WITH f AS (SELECT date_trunc('minute', ts)::timestamp + interval 1 minute AS prediction_time, round(avg(CASE WHEN event_type = 'click' THEN value END), 6) AS x, round(max(value), 6) AS y FROM events GROUP BY 1),
-    a AS (SELECT DISTINCT date_trunc('minute', ts)::timestamp + interval 1 minute AS prediction_time FROM events WHERE event_id % 10 = 0)
+    a AS (SELECT DISTINCT date_trunc('minute', ts)::timestamp + interval 1 minute AS prediction_time FROM events)
     SELECT a.prediction_time, CASE WHEN p.prediction_time IS NOT NULL THEN p.x ELSE q.x END AS x, CASE WHEN u.prediction_time IS NOT NULL THEN u.y ELSE v.y END AS y FROM a
     LEFT JOIN f p ON p.prediction_time = a.prediction_time - interval 30 minute LEFT JOIN f q ON q.prediction_time = a.prediction_time - interval 31 minute
     LEFT JOIN f u ON u.prediction_time = a.prediction_time - interval 5 minute LEFT JOIN f v ON v.prediction_time = a.prediction_time - interval 6 minute
@@ -321,7 +321,7 @@ def group_delay_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     minute = (F.date_trunc("minute", "ts").cast("timestamp_ntz") + F.expr("interval 1 minute")).alias("prediction_time")
     rows = events(spark, sf_dir)
     f = rows.groupBy(minute).agg(r(F.avg(F.when(F.col("event_type") == "click", F.col("value")))).alias("x"), r(F.max("value")).alias("y"))
-    times = rows.where("event_id % 10 = 0").select(minute).distinct()
+    times = rows.select(minute).distinct()
     return ev.delayed_features(f, times, {"slow": 30, "fast": 5}, {"slow": {"x"}, "fast": {"y"}}, ["x", "y"])
 
 
@@ -425,8 +425,8 @@ def class_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cluster_profile", "SELECT p_size % 4 AS cluster, round(avg(p_retailprice), 6) AS price, round(avg(CASE WHEN p_partkey % 5 > 0 THEN p_size END), 6) AS size FROM part GROUP BY 1")
 def cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return p.groupBy((F.col("p_size") % 4).alias("cluster")).agg(r(F.avg("p_retailprice")).alias("price"), r(F.avg(F.when(F.col("p_partkey") % 5 > 0, F.col("p_size")))).alias("size"))
+    p = spark.read.parquet(f"{sf_dir}/part.parquet").select((F.col("p_size") % 4).alias("cluster"), F.col("p_retailprice").alias("price"), F.when(F.col("p_partkey") % 5 > 0, F.col("p_size")).alias("size"))
+    return mo.cluster_means(p, "cluster", ["price", "size"]).select("cluster", r(F.col("price")).alias("price"), r(F.col("size")).alias("size"))
 
 
 # --- scores and gates -----------------------------------------------------------------
@@ -473,8 +473,10 @@ def macro_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _persistence(spark, sf_dir).where("said is not null").withColumn("base", F.lit(30.0))
     one = lambda c, n: me.regression_scores(rows, "value", c, ["week"]).select("week", F.col("mae").alias(n))
-    f = one("said", "m").join(one("base", "b"), "week")
-    return f.agg(F.count("*").alias("folds"), r(F.avg("m")).alias("mean_model_mae"), r(1 - F.avg("m") / F.avg("b")).alias("mean_improvement"), F.bool_and(F.col("m") < F.col("b")).alias("all_better"))
+    folds = [{"model": {"mae": x["m"]}, "baseline": {"mae": x["b"]}} for x in one("said", "m").join(one("base", "b"), "week").collect()]  # a row for each week
+    done = validation.summarise_regression(folds)
+    found = (done["fold_count"], round(done["mean_model_mae"], 6), round(done["mean_improvement"], 6), done["all_folds_model_beats_baseline"])
+    return spark.createDataFrame([found], "folds long, mean_model_mae double, mean_improvement double, all_better boolean")
 
 
 _FOLDS = "SELECT date_trunc('week', ts)::timestamp AS w, round(avg(value), 6) AS m, round(max(value), 6) AS b FROM events WHERE event_type = '{0}' AND ts {1} (SELECT min(ts) + interval 15 day FROM events) GROUP BY 1"
@@ -501,9 +503,14 @@ def direction_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- audits and rows ------------------------------------------------------------------
 
 
-@query("regex_extract", "SELECT event_id, try_cast(nullif(regexp_extract(props, '(\\d+)', 1), '') AS DOUBLE) AS number FROM events")
+_LOG = "'等级' || CASE WHEN event_id % 3 = 0 THEN ' ' ELSE '' END || (event_id % 7)::VARCHAR || CASE WHEN event_id % 5 = 0 THEN '' ELSE '，' || event_type END"
+
+
+@query("regex_extract", f"SELECT event_id, CASE WHEN event_id % 4 > 0 THEN try_cast(nullif(regexp_extract({_LOG}, '等级\\s*(\\d+)', 1), '') AS DOUBLE) END AS number FROM events")
 def regex_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events(spark, sf_dir, "event_id", F.expr(r"try_cast(regexp_extract(props, r'(\d+)', 1) AS DOUBLE)").alias("number"))
+    text = F.concat(F.lit("等级"), F.when(F.col("event_id") % 3 == 0, " ").otherwise(""), (F.col("event_id") % 7).cast("string"), F.when(F.col("event_id") % 5 == 0, "").otherwise(F.concat(F.lit("，"), F.col("event_type"))))
+    rows = events(spark, sf_dir, "event_id", "event_type").withColumn("log", F.when(F.col("event_id") % 4 > 0, text).otherwise("none"))
+    return rows.select("event_id", audit.logged_grade("log").alias("number"))
 
 
 @query("audit_counts", "SELECT count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS common_nonnull, count(*) FILTER (a = b) AS equal, count(*) FILTER (a <> b) AS mismatch FROM (SELECT CASE WHEN l_linenumber > 1 THEN l_quantity END AS a, CASE WHEN l_orderkey % 3 > 0 THEN l_quantity + l_orderkey % 2 END AS b FROM lineitem)")
@@ -584,7 +591,7 @@ def cluster_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delay_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = _features(spark, sf_dir).withColumn("prediction_time", F.col("prediction_time").cast("timestamp"))
     columns = [c for c in x.columns if "__" in c]
-    marks = events(spark, sf_dir).where("event_type = 'error'").select(F.date_trunc("minute", "ts").alias("prediction_time"), F.col("value").alias("fcao")).dropDuplicates(["prediction_time"])
+    marks = events(spark, sf_dir).where("event_type = 'error'").select(F.date_trunc("minute", "ts").alias("prediction_time"), "value").groupBy("prediction_time").agg(F.min("value").alias("fcao"))
     marks = marks.withColumn("previous_fcao", F.lag("fcao").over(W.orderBy("prediction_time"))).where("previous_fcao is not null")
     chosen, _ = mo.select_delays(x.persist(), marks.persist(), {"all": [0, 30, 60]}, {"all": {"value"}}, columns)
     return spark.createDataFrame(list(chosen.items()), "feature_group string, delay_minutes int")

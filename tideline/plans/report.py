@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pathlib import Path
 from typing import Any
 
-from ..sources.io import file_metadata, package_version, to_jsonable, write_json
+from ..sources.io import code_hashes, file_metadata, package_version, to_jsonable, write_json
 
 _STYLE = "body{font-family:sans-serif;margin:2rem auto;max-width:64rem;color:#222}table{border-collapse:collapse;width:100%}th,td{text-align:left;border-bottom:1px solid #ddd;padding:.4rem}.cards{display:flex;flex-wrap:wrap;gap:.6rem}.card{border:1px solid #ddd;padding:.6rem;min-width:10rem}.card b{display:block}"
 
@@ -35,13 +35,13 @@ def write_html(path: str | Path, metrics: Mapping[str, Any], signal: Mapping[str
 
 
 def write_manifest(path: str | Path, config_path: str | Path, output: str | Path, started: float, **sections: Any) -> dict:
-    """Environment, config, hashes of the files the run wrote (its output folder alone), and the given sections."""
+    """Environment, config, hashes of the package's code and of the files the run wrote (its output folder alone), and the given sections."""
     path, output = Path(path).resolve(), Path(output)
     made = [file_metadata(p) for p in sorted(output.rglob("*")) if p.is_file() and p.resolve() != path]
     manifest = {
         "started_at_epoch": started, "completed_at_epoch": time.time(), "runtime_seconds": time.time() - started, "command": sys.argv, "config": file_metadata(config_path),
         "environment": {"python": sys.version, "platform": platform.platform(), "packages": {p: package_version(p) for p in ("pyspark", "numpy", "pandas", "pyarrow")}},
-        "generated_files": made, **sections,
+        "code": code_hashes(Path(__file__).parents[1]), "generated_files": made, **sections,
     }
     write_json(path, manifest)
     return manifest

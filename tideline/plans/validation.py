@@ -54,9 +54,14 @@ def weekly_regression(rows: DataFrame, features: Features, target: str, baseline
         scores, base = _one(regression_scores(said, target, "predicted")), _one(regression_scores(said, target, baseline))
         folds.append({"fold": fold.number, "test_week": str(fold.week.date()), "purge_minutes": horizon, "train": about[0], "test": about[1], "baseline": base, "model": scores, "model_beats_baseline": scores["mae"] < base["mae"], "fitted": fitted})
     usable.unpersist()
+    return {"folds": folds, "summary": summarise_regression(folds)}
+
+
+def summarise_regression(folds: Sequence[dict]) -> dict[str, Any]:
+    """Means over folds (each with model.mae and baseline.mae), and whether the model is better in all."""
     m, b = [f["model"]["mae"] for f in folds], [f["baseline"]["mae"] for f in folds]
     better = 1 - _mean(m) / _mean(b) if folds and _mean(b) > 0 else None
-    return {"folds": folds, "summary": {"fold_count": len(folds), "mean_model_mae": _mean(m), "mean_baseline_mae": _mean(b), "mean_improvement": better, "all_folds_model_beats_baseline": bool(folds) and all(f["model_beats_baseline"] for f in folds)}}
+    return {"fold_count": len(folds), "mean_model_mae": _mean(m), "mean_baseline_mae": _mean(b), "mean_improvement": better, "all_folds_model_beats_baseline": bool(folds) and all(x < y for x, y in zip(m, b, strict=True))}
 
 
 def weekly_classification(rows: DataFrame, features: Features, target: str, horizon: int, stride: int, min_train_weeks: int, labels: Sequence[int], baseline: str | None = None, risk: int | None = None, time: str = "prediction_time") -> dict[str, Any]:
@@ -74,8 +79,7 @@ def weekly_classification(rows: DataFrame, features: Features, target: str, hori
         if about["train"]["rows"] < 2 or not about["test"]["rows"]:
             continue
         head = {"fold": fold.number, "test_week": str(fold.week.date()), **about}
-        fit_rows = every(train, stride, time)
-        seen = fit_rows.agg(F.countDistinct(target).alias("n"), F.mode(target, True).alias("most")).first()
+        fit_rows, seen = every(train, stride, time), majority(train, target, stride, time)
         if seen["n"] < 2:
             folds.append(head | {"status": "skipped_insufficient_train_classes"})
             continue
@@ -87,8 +91,17 @@ def weekly_classification(rows: DataFrame, features: Features, target: str, hori
         said.unpersist()
         folds.append(head | {"purge_minutes": horizon, "baseline_name": "persistence" if baseline else "train_majority", "baseline": base, "model": scores, "model_beats_baseline": scores["macro_f1"] > base["macro_f1"], "fitted": fitted})
     usable.unpersist()
+    return {"folds": folds, "summary": summarise_classification(folds, risk is not None)}
+
+
+def summarise_classification(folds: Sequence[dict], risk: bool = False) -> dict[str, Any]:
+    """Means over the folds that were fitted, and how many were skipped."""
     done = [f for f in folds if "model" in f]
-    summary = {"fold_count": len(done), "skipped_fold_count": len(folds) - len(done), "mean_model_macro_f1": _mean([f["model"]["macro_f1"] for f in done]), "mean_baseline_macro_f1": _mean([f["baseline"]["macro_f1"] for f in done]), "all_folds_model_beats_baseline": bool(done) and all(f["model_beats_baseline"] for f in done)}
-    if risk is not None:
-        summary["mean_model_risk_class_recall"] = _mean([f["model"]["risk_class_recall"] for f in done])
-    return {"folds": folds, "summary": summary}
+    f1 = lambda which: [f[which]["macro_f1"] for f in done]
+    summary = {"fold_count": len(done), "skipped_fold_count": len(folds) - len(done), "mean_model_macro_f1": _mean(f1("model")), "mean_baseline_macro_f1": _mean(f1("baseline")), "all_folds_model_beats_baseline": bool(done) and all(x > y for x, y in zip(f1("model"), f1("baseline"), strict=True))}
+    return summary | ({"mean_model_risk_class_recall": _mean([f["model"]["risk_class_recall"] for f in done])} if risk else {})
+
+
+def majority(train: DataFrame, target: str, stride: int, time: str = "prediction_time") -> dict:
+    """Of the strided training rows: how many classes there are, and the most frequent one, the smallest of equals."""
+    return every(train, stride, time).agg(F.countDistinct(target).alias("n"), F.mode(target, True).alias("most")).first().asDict()

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..operators.timebase import check_minutes, minute_series
 from ..spec import RunConfig, SeriesSpec
 
-_HASHED = 1 << 20
+_HASHED = 1 << 20  # bytes read at once
 
 
 # --- config and guards ----------------------------------------------------------------
@@ -128,9 +128,16 @@ def write_json(path: str | Path, value: Any) -> None:
     Path(path).write_text(json.dumps(to_jsonable(value), ensure_ascii=False, indent=2), encoding="utf-8")
 
 
+#: Rows of a CSV file that the driver writes.
+MOST_CSV_ROWS = 1_000_000
+
+
 def write_csv(df: DataFrame, path: str | Path, bom: bool = True) -> None:
-    """A small frame as one CSV file with a header, nested columns as JSON; with a byte order mark for spreadsheets."""
+    """A small frame as one CSV file with a header, nested columns as JSON; with a byte order mark for spreadsheets. Beyond MOST_CSV_ROWS rows, a folder of files."""
     flat = [F.to_json(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    if df.limit(MOST_CSV_ROWS + 1).count() > MOST_CSV_ROWS:
+        write_csv_files(df.select(*flat), str(path))
+        return
     df.select(*flat).toPandas().to_csv(path, index=False, encoding="utf-8-sig" if bom else "utf-8")
 
 
@@ -160,17 +167,43 @@ def file_metadata(path: str | Path, include_hash: bool = True) -> dict:
     return {"path": str(path), "size_bytes": stat.st_size, "mtime_ns": stat.st_mtime_ns} | ({"sha256": sha256_file(path)} if include_hash else {})
 
 
+#: Files up to this size are hashed by the executors, each as a whole.
+MOST_HASHED = 1 << 30
+
+
 def folder_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, modificationTime, sha256) of every file below a path, hashed by the executors."""
+    """(path, length, modificationTime, sha256) of every file below a path, hashed by the executors; null for files above MOST_HASHED."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"))
+    hashed = files.where(F.col("length") <= MOST_HASHED).select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > MOST_HASHED).select("path", "length", "modificationTime", F.lit(None).cast("string").alias("sha256"))
+    return hashed.unionByName(large)
+
 
+def source_metadata(spark: SparkSession, path: str) -> dict:
+    """Path, size, files and hash of a source on any file system Spark reads: of one file its own hash, of several that of their names and hashes.
 
-def assert_unchanged(before: dict, path: str | Path) -> dict:
-    after = file_metadata(path)
+    A file above MOST_HASHED on a local path is hashed by the driver; elsewhere its size and time of modification stand for it.
+    """
+    files = [r.asDict() for r in folder_hashes(spark, path).orderBy("path").collect()]  # a row for each file
+    for f in files:
+        local = f["path"].removeprefix("file:")
+        if f["sha256"] is None and Path(local).exists():
+            f["sha256"] = sha256_file(local)
+    told = [f["sha256"] or f"{f['length']}|{f['modificationTime']}" for f in files]
+    whole = files[0]["sha256"] if len(files) == 1 else hashlib.sha256("\n".join(f"{f['path']}|{t}" for f, t in zip(files, told, strict=True)).encode()).hexdigest()
+    return {"path": path, "size_bytes": sum(f["length"] for f in files), "sha256": whole, "files": to_jsonable(files)}
+
+
+def assert_unchanged(before: dict, after: dict) -> dict:
     if before != after:
-        raise RuntimeError(f"the source {path} changed during the run")
-    return after
+        raise RuntimeError(f"the source {before.get('path')} changed during the run")
+    return {"unchanged": True, "before": before, "after": after}
+
+
+def code_hashes(folder: str | Path) -> dict[str, str]:
+    """Hash of every Python and JSON file of a package's folder, by its path in it."""
+    folder = Path(folder)
+    return {str(p.relative_to(folder)): sha256_file(p) for kind in ("*.py", "*.json") for p in sorted(folder.rglob(kind))}
 
 
 def package_version(name: str) -> str | None:
