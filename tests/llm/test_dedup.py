@@ -149,7 +149,8 @@ def test_lines_of_hard_texts(corpus):
 
 
 @pytest.mark.parametrize("edits", [1, 2, 3])
-def test_bit_parallel_distance(spark, edits):
+def test_bit_parallel_distance(spark, monkeypatch, edits):
+    monkeypatch.setattr(line_dedup, "AHEAD", 4)
     rng = np.random.default_rng(10 + edits)
     pairs = []
     for _ in range(600):

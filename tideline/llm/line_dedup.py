@@ -88,12 +88,17 @@ def neighbours_apart(a: str, b: str) -> F.Column:
     return sum((F.bit_count(F.col(a)[w].bitwiseXOR(F.col(b)[w])) for w in range(4)), F.lit(0))
 
 
+#: Characters of a pair of lines, from where they first differ, that are held against each other before the rest.
+AHEAD = 40
+
+
 def distance(a: str, b: str, edits: int) -> F.Column:
     """Edit distance of a line a and a line b as long or up to edits shorter, if it is at most edits, else some larger number; a has edits characters at least.
 
     Bit-parallel: after each character of b, bit j of vp and vn says whether the table's value grows or falls by one from
-    the row above to row i - edits + j, within the band of 2 * edits + 1 rows about the diagonal. The value is followed along the
-    band's lowest diagonal until that reaches the end of a, then along a's last row.
+    the row above to row i + 1 - edits + j, within the band of 2 * edits + 1 rows about the diagonal. The value is followed along
+    the band's lowest diagonal until that reaches the end of a, then along a's last row. What both lines begin with is left
+    out, found by halving; and a pair whose whole band is beyond edits after AHEAD characters is followed no further.
     """
     width = 2 * edits + 1
     full, top = (1 << width) - 1, 1 << (width - 1)
@@ -107,8 +112,17 @@ def distance(a: str, b: str, edits: int) -> F.Column:
     d0 = f"((((m & s.vp) + s.vp) ^ s.vp) | m | s.vn) & {full}"
     step = bind("y[i]", "c", bind(match, "m", bind(d0, "d0", after)))
     start = f"named_struct('vp', {full & ~((1 << edits) - 1)}, 'vn', 0, 'd', {edits})"
-    fold = f"aggregate(sequence(0, size(y) - 1), {start}, (s, i) -> {step}, s -> s.d)"
-    return F.expr(bind(f"split({a}, '')", "x", bind(f"split({b}, '')", "y", fold)))
+    fold = lambda last, end: f"aggregate(sequence(0, {last}), {start}, (s, i) -> {step}, s -> {end})"
+    # the values of a column from the lowest row of the band upwards
+    values = ["s.d"]
+    for j in range(width - 2, -1, -1):
+        values.append(f"{values[-1]} - (shiftright(s.vp, {j}) & 1) + (shiftright(s.vn, {j}) & 1)")
+    near = fold(AHEAD - 1, f"least({', '.join(values)})") + f" <= {edits}"
+    whole = f"if(size(x) <= {AHEAD + edits} or size(y) <= {AHEAD} or {near}, {fold('size(y) - 1', 's.d')}, {edits + 1})"
+    halves = ", ".join(str(1 << k) for k in range(24, -1, -1))
+    alike = f"aggregate(array({halves}), 0, (p, h) -> if(p + h <= length({b}) and substring({a}, 1, p + h) = substring({b}, 1, p + h), p + h, p))"
+    body = bind(f"split(substring({a}, q + 1), '')", "x", bind(f"split(substring({b}, q + 1), '')", "y", whole))
+    return F.expr(bind(f"greatest(0, {alike} - {edits})", "q", body))
 
 
 def meetings(lines: DataFrame, edits: int) -> tuple[DataFrame, DataFrame]:
