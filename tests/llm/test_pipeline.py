@@ -11,7 +11,7 @@ from tideline.llm.common import materialise
 @pytest.fixture(scope="module")
 def folder(spark, corpus, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("pipeline"))
-    corpus.selectExpr("doc_id", "text", "'en' as lang", "source", "cast(length(text) as bigint) as n_chars", "key").write.parquet(f"{path}/documents.parquet")
+    corpus.selectExpr("doc_id", "text", "'en' as lang", "source", "cast(length(text) as bigint) as n_chars", "key", "label as __stats", "size as __row", "key as n_lines").write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(i, 1, 0) for i in range(100, 112)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     return path
 
@@ -32,3 +32,10 @@ def test_stages(spark, folder):
     for r in seen["near"].where("doc_id between 301 and 330").collect():
         assert r.text == text[r.doc_id]
     assert Counter(r.doc_id for r in corpus_pipeline.run(spark, folder).collect()) == Counter(r.doc_id for r in seen["pack"].collect())
+
+
+def test_stages_of_an_empty_table(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        assert out.count() == 0 and (name == "pack" or out.columns == docs.columns)

@@ -60,11 +60,16 @@ def discard(df: DataFrame) -> None:
     _delete(df.sparkSession, df._tideline_path)
 
 
-def release(spark: SparkSession, but: DataFrame | None = None) -> None:
-    """Delete the tables that materialise has written in this process, all but one if given; call it when results that read them are done with."""
+def written() -> frozenset[str]:
+    """Folders of the tables that materialise has written in this process and that are still there."""
+    return frozenset(_WRITTEN)
+
+
+def release(spark: SparkSession, but: DataFrame | None = None, earlier: frozenset[str] = frozenset()) -> None:
+    """Delete the tables that materialise has written in this process, all but one and those written earlier, if given; call it when results that read them are done with."""
     kept = getattr(but, "_tideline_path", None)
     for path in list(_WRITTEN):
-        if path != kept:
+        if path != kept and path not in earlier:
             _WRITTEN.remove(path)
             _delete(spark, path)
 

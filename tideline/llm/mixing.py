@@ -106,7 +106,11 @@ def mix(docs: DataFrame, cycle: tuple[float, ...] = CYCLE, most: float = MOST_EP
 
 
 def apply_mix(docs: DataFrame, cycle: tuple[float, ...] = CYCLE, most: float = MOST_EPOCHS, seed: int = 5) -> DataFrame:
-    """The mixed corpus in the columns of docs: a row for each whole time that a document is taken, and the part of the one document on a source's cut."""
+    """The mixed corpus in the columns of docs: a row for each whole time that a document is taken, and the part of the one document on a source's cut.
+
+    Null and blank texts have no words and are not taken. Null is a source of its own. Repeated rows are taken each for itself;
+    columns may have any names; an empty table gives an empty result.
+    """
     found = mix(docs, cycle, most, seed, keep_text=True)
     times = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
     copies = found.withColumn("__times", times).where("__times > 0").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__times"))))

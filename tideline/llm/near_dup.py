@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     doc_id, n_shingles, component_id (smallest doc_id reachable, itself included),
     kept (doc_id = component_id).
 
-    Null or empty texts, or those without words, have no shingles and link with nothing.
+    doc_id is a whole number, or text that casts to one. Null or empty texts, or those without words, have no shingles and link with nothing.
     Copies are one node, represented by their smallest doc_id. Rows with one doc_id
     are one document. A null doc_id links with nothing, has a null component and is kept.
     An empty table gives an empty result.
@@ -271,6 +271,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
-    """docs without the documents that are near-duplicates of one with a smaller doc_id; columns as given."""
+    """docs without the documents that are near-duplicates of one with a smaller doc_id; columns as given.
+
+    Rows of a doc_id that stays all stay; null doc_ids and texts without words stay; an empty table gives an empty result.
+    """
     found = small(materialise(near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias("__dropped")).distinct()))
     return docs.join(found, docs["doc_id"].cast("long") == found["__dropped"], "left_anti")

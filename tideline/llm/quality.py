@@ -204,7 +204,13 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier predicts as good, in the columns of docs."""
-    stats = materialise(with_statistics(docs.select("doc_id", "text")).drop("text"))
-    model = learn(stats, labels)
-    return with_statistics(docs).where(model.column("__stats") >= THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs that the classifier predicts as good, in the columns of docs, whatever their names.
+
+    Statistics are computed once and kept beside the rows while the model is fitted. Null and empty texts have statistics
+    of 0 and are judged like any other; repeated rows are judged alike; an empty table gives an empty result.
+    """
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("__row")
+    rows = materialise(with_statistics(docs.select("text", F.col("doc_id").alias("__doc"), rest)))
+    model = learn(rows.select(F.col("__doc").alias("doc_id"), "__stats"), labels)
+    good = rows.where(model.column("__stats") >= THRESHOLD)
+    return good.select(*[F.col("text") if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns])
