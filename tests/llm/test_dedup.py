@@ -40,6 +40,8 @@ def test_near_duplicates_equal_brute_force(corpus):
             assert r.component_id is None and r.kept
         else:
             assert (r.component_id, r.kept, r.n_shingles) == (want[r.doc_id], want[r.doc_id] == r.doc_id, len(sets[r.doc_id]))
+    with pytest.raises(ValueError, match="75 percent"):
+        near_dup.near_duplicates(corpus, percent=60)
     kept = near_dup.keep_one(corpus)
     assert kept.columns == corpus.columns and {r.doc_id for r in kept.select("doc_id").collect()} == {r.doc_id for r in got if r.kept}
 

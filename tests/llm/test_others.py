@@ -42,6 +42,18 @@ def test_rules_learn_and_compile(spark):
     assert quality.fit(x[:5], np.ones(5)).score(x[:1])[0] > 0.7
 
 
+def test_quality_on_held_out_labels(spark):
+    """Labels that the model has not seen: better than the majority by far, and ranked almost without fault."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.score_documents(docs.select("doc_id", "text"), labels.select("doc_id", "quality")).where("held_out").join(labels, "doc_id").select("score", "predicted", "quality").toPandas()
+    good = got.quality == 1
+    right, most = (got.predicted == got.quality).mean(), max(good.mean(), 1 - good.mean())
+    ranks = got.score.rank()
+    area = (ranks[good].sum() - good.sum() * (good.sum() + 1) / 2) / (good.sum() * (~good).sum())
+    assert len(got) > 50 and right > max(0.9, most) and area > 0.95
+
+
 def test_quality_of_hard_documents(spark, corpus):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(100, 112)] + [(300, None, 0), (None, 1, 0), (101, 1, 1)], "doc_id long, quality int, toxic int")
     got = quality.score_documents(corpus, labels).collect()

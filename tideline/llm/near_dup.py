@@ -26,6 +26,7 @@ from .common import bounded, by_groups, components, materialise, mix64, shingles
 
 #: Sketch shape: a pair at the threshold 0.75 meets in a band with probability 1 - (1 - 0.75**3)**20 > 0.9999.
 BANDS, ROWS = 20, 3
+LEAST_PERCENT = 75
 REGISTERS = BANDS * ROWS
 #: Base, rate and largest register of the sketch.
 BASE, RATE, LIMIT = 1.001, 20.0, 65534
@@ -220,7 +221,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
-    """Link documents whose shingle sets have ``100 * intersection >= percent * union``.
+    """Link documents whose shingle sets have ``100 * intersection >= percent * union``, for 75 percent or more; less raises.
 
     Takes doc_id and text of docs; further columns are ignored. Returns a row per row of docs:
     doc_id, n_shingles, component_id (smallest doc_id reachable, itself included),
@@ -231,6 +232,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     are one document. A null doc_id links with nothing, has a null component and is kept.
     An empty table gives an empty result.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"bands and filters lose no link of {LEAST_PERCENT} percent or more, not of {percent}")
     threshold = percent / 100
     rows = materialise(sketch(docs, words))
     nodes = materialise(
