@@ -243,6 +243,8 @@ def by_groups(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
 
 #: Tables of numbers with up to so many rows (some MB) are broadcast; above, joins shuffle.
 BROADCAST_ROWS = 500_000
+#: Bytes of a broadcast table whose rows differ in size.
+BROADCAST_BYTES = 64 << 20
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

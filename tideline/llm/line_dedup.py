@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import BROADCAST_ROWS, materialise, small
+from .common import BROADCAST_BYTES, materialise, small
 
 #: Lines are near within so many edits, and if edits are at most this share of the longer line's characters.
 EDITS, SHARE = 2, 0.25
@@ -222,7 +222,9 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, share: float = SHARE, min_c
     again = F.col("first") != F.struct("d", "t", "pos")
     dropped = rows.where(again | F.col("near")).groupBy("d", "t").agg(F.collect_set("pos").alias("dropped"), F.count_if(again).alias("rep"), F.count_if(~again).alias("nea"))
     dropped = materialise(dropped)
-    if (dropped.agg(F.sum(F.size("dropped"))).first()[0] or 0) <= BROADCAST_ROWS:
+    # a row for each document that loses lines, of some 48 bytes and 4 a line
+    size = dropped.agg(F.count("*") * 48 + F.coalesce(F.sum(F.size("dropped")), F.lit(0)) * 4).first()[0]
+    if size <= BROADCAST_BYTES:
         dropped = F.broadcast(dropped)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     out = docs.select(row, "doc_id", "text", F.xxhash64("text").alias("hash")).join(dropped, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("t")), "left")
