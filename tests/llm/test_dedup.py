@@ -1,9 +1,11 @@
 """Near-duplicate documents, lines and embeddings against brute force."""
 
 import math
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tideline.llm import common, embed_dup, line_dedup, near_dup
 
@@ -309,3 +311,19 @@ def test_many_lists_equal_brute_force(spark, tmp_path, rank, size, kind):
     want = classes(list(range(len(x))), [(int(a), int(b)) for a, b in links])
     n = near.sum(1) - 1
     assert all(got[i].n_links == n[i] and got[i].component_id == want[i] for i in range(len(x)))
+
+
+def test_sketches_of_near_copies_are_not_broadcast(spark):
+    # they take next to nothing in Parquet, which Spark takes for their size: at 0.6 GB of documents the driver ran out of memory
+    n = 21_000
+    words = [f"w{i}" for i in range(80)]
+    text = lambda w: F.concat(F.lit(" ".join(w) + " "), F.col("id"))
+    docs = spark.range(0, n, 1, 4).select(F.col("id").alias("doc_id"), F.when(F.col("id") < n - 20, text(words[:60])).otherwise(text(words[15:75])).alias("text"))
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsList().last().executionId() if store.executionsCount() else -1
+    found = near_dup.near_duplicates(docs).groupBy("component_id").agg(F.count("*"), F.count_if("kept")).collect()
+    assert sorted(map(tuple, found)) == [(0, n - 20, 1), (n - 20, 20, 1)]
+    runs = store.executionsList()
+    plans = [x.physicalPlanDescription() for x in map(runs.apply, range(runs.size())) if x.executionId() > before]
+    sent = [columns for plan in plans for columns in re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan)]
+    assert sent and not [x for x in sent if re.search(r"\b(fine|regs|ra|rb)#", x)]

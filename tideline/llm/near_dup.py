@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, by_groups, components, materialise, mix64, shingles, small, word_hashes
+from .common import WIDE_ROWS, bounded, by_groups, components, materialise, mix64, shingles, small, unless_large, word_hashes
 
 #: Sketch shape: a pair at the threshold 0.75 meets in a band with probability 1 - (1 - 0.75**3)**20 > 0.9999.
 BANDS, ROWS = 20, 3
@@ -213,7 +213,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     is sent once to each group and a hot b is many groups.
     """
     parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / STAR).alias("parts"))
-    salted = pairs.join(parts, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("parts")))
+    salted = pairs.join(unless_large(parts, pairs.count()), "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("parts")))
     need = salted.select(F.col("a").alias("id"), F.col("b").alias("g"), "salt").unionByName(salted.select(F.col("b").alias("id"), F.col("b").alias("g"), "salt").distinct())
     need = small(materialise(need))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("id is not null and text is not null")
@@ -239,15 +239,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     nodes = materialise(
         rows.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"))
     )
+    n = nodes.count()
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     entries = nodes.select("id", "regs", band).select("id", "band", F.xxhash64("band", F.expr(f"substring(regs, 1 + band * {2 * ROWS}, {2 * ROWS})")).alias("key"))
 
-    hub = entries.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b < last").select("key", "b")
+    hub = unless_large(entries.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b < last").select("key", "b"), n, WIDE_ROWS)
     star = entries.join(hub, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
-    side = lambda x: nodes.select(F.col("id").alias(x), F.col("regs").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}"))
+    side = lambda x: unless_large(nodes.select(F.col("id").alias(x), F.col("regs").alias(f"r{x}"), F.col("n_shingles").alias(f"n{x}")), n, WIDE_ROWS)
     tested = materialise(star.join(side("a"), "a").join(side("b"), "b").mapInPandas(_filter(threshold), "a long, b long"))
     edges = materialise(confirm(docs, tested, words, percent))
-    labels = components(edges)
+    labels = unless_large(components(edges), edges.count())
 
     # buckets whose members are not yet one component
     open_entries = entries.join(hub, "key").select("key", "band", "id").join(labels, "id", "left").select("key", "band", "id", F.coalesce("component_id", "id").alias("label"))
@@ -257,15 +258,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     )
     ids = small(materialise(members.select("id").distinct()))
     fine = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id").mapInArrow(_fine(words), "id long, fine binary")
-    fine = materialise(fine.groupBy("id").agg(F.first("fine").alias("fine")).join(nodes.select("id", "regs", "n_shingles"), "id"))
+    fine = materialise(fine.groupBy("id").agg(F.first("fine").alias("fine")).join(unless_large(nodes.select("id", "regs", "n_shingles"), n, WIDE_ROWS), "id"))
     paired = members.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    more = by_groups(paired.drop("other", "blocks").join(fine, "id"), ["key", "i", "j"], _block_pairs(threshold), "a long, b long")
-    more = materialise(more.distinct().join(tested, ["a", "b"], "left_anti"))
+    more = by_groups(paired.drop("other", "blocks").join(unless_large(fine, fine.count(), WIDE_ROWS), "id"), ["key", "i", "j"], _block_pairs(threshold), "a long, b long")
+    more = materialise(more.distinct().join(unless_large(tested, tested.count()), ["a", "b"], "left_anti"))
     if more.limit(1).count():
         edges = edges.unionByName(materialise(confirm(docs, more, words, percent)))
-        labels = components(edges)
+        labels = unless_large(components(edges), edges.count())
 
     ids = nodes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("component_id", "id").alias("found"))
+    ids = unless_large(ids, n, WIDE_ROWS)
     # rows without a digest stay out of the join, where they would meet in one task
     plain = rows.select("doc_id", "n_shingles", "digest")
     out = plain.where("digest is not null").join(ids, "digest", "left").unionByName(plain.where("digest is null").withColumn("found", F.lit(None).cast("long")))
