@@ -8,7 +8,9 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tideline.functions import metrics as me
 from tideline.operators import events as ev
@@ -476,3 +478,26 @@ def test_cluster_select_fits_all_rows_with_the_default_restarts(spark, tmp_path,
     with pytest.raises(KeyError, match="seen"):
         queries.QUERIES["cluster_select"](spark, str(tmp_path))
     assert seen == {"n": 2500, "args": {}}
+
+
+def test_silhouette_of_one_component_looks_at_no_pairs(spark):
+    table = StructType([StructField("id", LongType()), StructField("v", VectorUDT()), StructField("c", IntegerType())])
+    rng = np.random.default_rng(3)
+    x, c = np.round(rng.normal(size=400), 1), rng.integers(0, 3, 400)
+    x[:5], c[0] = 9.0, 7  # equal values, and a cluster of one
+    rows = spark.createDataFrame([(i, Vectors.dense(v), int(k)) for i, (v, k) in enumerate(zip(x.tolist(), c.tolist(), strict=True))], table)
+    far, worth = np.abs(x[:, None] - x), []
+    for i in range(len(x)):
+        others = [far[i, (c == k) & (np.arange(len(x)) != i)] for k in (c[i], *set(c.tolist()) - {c[i]})]
+        own, other = (others[0].mean(), min(d.mean() for d in others[1:])) if len(others[0]) else (0.0, 0.0)
+        worth.append((other - own) / max(own, other) if max(own, other) else 0.0)
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsList().last().executionId() if store.executionsCount() else -1
+    assert mo.silhouette(rows, "v", "c") == pytest.approx(np.mean(worth), abs=1e-12)
+    runs = store.executionsList()
+    plans = [x.physicalPlanDescription() for x in map(runs.apply, range(runs.size())) if x.executionId() > before]
+    assert plans and not any("NOT (i#" in p for p in plans)
+    flat = spark.createDataFrame([(i, Vectors.dense(0.1), i % 2) for i in range(9)], table)
+    assert mo.silhouette(flat, "v", "c") == 0.0 and mo.silhouette(flat.limit(1), "v", "c") is None and mo.silhouette(flat.limit(0), "v", "c") is None
+    plane = rows.withColumn("v", F.udf(lambda v: Vectors.dense(v[0], 0.0), VectorUDT())("v"))
+    assert mo.silhouette(plane, "v", "c") == pytest.approx(np.mean(worth), abs=1e-12)

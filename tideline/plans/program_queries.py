@@ -214,7 +214,7 @@ def cluster_place(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("id"), "s_acctbal", (F.col("s_nationkey") % 3).alias("cluster"))
     found = mo.silhouette(VectorAssembler(inputCols=["s_acctbal"], outputCol="v").transform(rows), "v", "cluster")
-    return spark.createDataFrame([(round(found, 9),)], "silhouette double")
+    return spark.createDataFrame([(None if found is None else round(found, 9),)], "silhouette double")
 
 
 # --- files ----------------------------------------------------------------------------
