@@ -327,3 +327,9 @@ def test_sketches_of_near_copies_are_not_broadcast(spark):
     plans = [x.physicalPlanDescription() for x in map(runs.apply, range(runs.size())) if x.executionId() > before]
     sent = [columns for plan in plans for columns in re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan)]
     assert sent and not [x for x in sent if re.search(r"\b(fine|regs|ra|rb)#", x)]
+
+
+def test_tables_over_the_row_limit_are_never_broadcast(spark):
+    table = common.materialise(spark.range(2_000))
+    plan = lambda rows: spark.range(50).join(common.small(table, rows), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(2_000) and "Broadcast" not in plan(1_999)
