@@ -165,6 +165,34 @@ def test_scores_equal_brute_force(spark, monkeypatch):
         assert one[i].score == pytest.approx(want[i] + lm_score.GATE_COST, abs=1e-6)
 
 
+def test_contexts_do_not_follow_from_the_size(spark, monkeypatch):
+    """However often words occur, a context is the last two words: none is hot by default, and small parts and rows told by ranges change no score."""
+    assert not (np.array([10**6 + 1, 10**12]) > lm_score.PART).any()
+    df = spark.createDataFrame(tiny(spark), "doc_id long, text string")
+    want = {r.doc_id: r for r in lm_score.score_documents(df).collect()}
+    monkeypatch.setattr(lm_score, "OCCURRENCES", 24)
+    monkeypatch.setattr(lm_score, "HELD_ROWS", 30)
+    got = lm_score.score_documents(df.repartition(5)).collect()
+    assert all(r.score == pytest.approx(want[r.doc_id].score, abs=1e-9) and r.n_foretold == want[r.doc_id].n_foretold for r in got) and len(got) == len(want)
+
+
+@pytest.mark.parametrize("most", [1, 40, 300])
+def test_large_contexts_are_told_like_small_ones(monkeypatch, most):
+    """Parts over what is held at once, and single contexts over it, get the answers of all rows held together."""
+    rng = np.random.default_rng(4)
+    asked = []
+    for _ in range(6):
+        n = int(rng.integers(0, 200))
+        key = np.sort(np.where(rng.random(n) < 0.6, 7, rng.integers(0, 1 << lm_score.KEY_BITS, n) >> 25 << 25))
+        asked.append(np.stack((key, rng.integers(0, 4, n), rng.integers(0, 9, n), rng.integers(0, 2, n))))
+    all_ = np.concatenate(asked, axis=1)
+    want = lm_score.foretell(all_)
+    monkeypatch.setattr(lm_score, "HELD_ROWS", most)
+    got, seen = lm_score._answers([lm_score._thin(x) for x in asked])
+    assert np.concatenate(got).tolist() == want.tolist() and (want > 0).any()
+    assert seen.tolist() == np.bincount(want[all_[3] > 0], minlength=2 * lm_score.CELLS).tolist()
+
+
 def test_bits_of_all_words_are_a_distribution():
     """Over all bytes at one place, what the mixer spells sums to one: scores are probabilities."""
     code = lm_score.byte_code(np.arange(256.0))
