@@ -185,7 +185,7 @@ def test_large_contexts_are_told_like_small_ones(monkeypatch, most):
         n = int(rng.integers(0, 200))
         key = np.sort(np.where(rng.random(n) < 0.6, 7, rng.integers(0, 1 << lm_score.KEY_BITS, n) >> 25 << 25))
         asked.append(np.stack((key, rng.integers(0, 4, n), rng.integers(0, 9, n), rng.integers(0, 2, n))))
-    all_ = np.concatenate(asked, axis=1)
+    all_ = np.concatenate([lm_score._thick(lm_score._thin(x)) for x in asked], axis=1)
     want = lm_score.foretell(all_)
     monkeypatch.setattr(lm_score, "HELD_ROWS", most)
     got, seen = lm_score._answers([lm_score._thin(x) for x in asked])
@@ -193,6 +193,41 @@ def test_large_contexts_are_told_like_small_ones(monkeypatch, most):
     assert seen.tolist() == np.bincount(want[all_[3] > 0], minlength=2 * lm_score.CELLS).tolist()
 
 
+def test_asked_rows_travel_whole_and_small():
+    """Words of the head travel as ranks and come out as hashes; rare ones as hashes. Ranks take less room than hashes."""
+    rng = np.random.default_rng(5)
+    n = 20_000
+    rank = (rng.pareto(1.0, n) * 5).astype(np.int64) % 100_000
+    hash_ = (lm_score.mix64(rank.astype(np.uint64) + np.uint64(1)) & np.uint64(0xFFFFFF)).astype(np.int64)
+    rare = rng.random(n) < 0.1
+    rest = [np.sort(rng.integers(0, 1 << lm_score.KEY_BITS, n)), rng.integers(0, 1 << 15, n), rng.integers(0, 2, n)]
+    data = lm_score._thin(np.stack((rest[0], rest[1], np.where(rare, hash_ | 1 << 24, rank), rest[2])))
+    assert lm_score._thick(data).tolist() == [rest[0].tolist(), rest[1].tolist(), hash_.tolist(), rest[2].tolist()]
+    assert lm_score._keys(data).tolist() == rest[0].tolist() and len(data) < 6 * n
+
+
+def test_learner_runs_once(spark, monkeypatch):
+    """Weights are learned in one go over the words: as many units are learned as there are."""
+    runs, learner = spark.sparkContext.accumulator(0), lm_score._learner
+
+    def counted(shared):
+        run = learner(shared)
+
+        def through(batches):
+            runs.add(1)
+            yield from run(batches)
+
+        return through
+
+    monkeypatch.setattr(lm_score, "_learner", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lm_score.spelled(lm_score.gather(spark.createDataFrame(tiny(spark), "doc_id long, text string")).persist(), 30)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert 1 <= runs.value <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_bits_of_all_words_are_a_distribution():
     """Over all bytes at one place, what the mixer spells sums to one: scores are probabilities."""
     code = lm_score.byte_code(np.arange(256.0))
