@@ -173,6 +173,21 @@ def test_bit_parallel_distance(spark, monkeypatch, edits):
         assert r.d == want if want <= edits else r.d > edits
 
 
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_segment_keys_are_hashes_of_what_probes_cover(spark, edits):
+    parts, want, lines = edits + 1, [], ["abcdéfghijk漢lmn"[:n] for n in range(edits + 1, 16)]
+    for k, line in enumerate(lines):
+        for p, (i, d, s) in enumerate(line_dedup.probes(edits)):
+            q, r = divmod(len(line) - d, parts)
+            at, size = i * q + max(0, i - parts + r) + s, q + (parts - i <= r)
+            want.append((k, p, (len(line) - d) * parts + i, line[at : at + size] if at >= 0 and at + size <= len(line) else None))
+    df = spark.createDataFrame(want, "k long, p int, tag long, part string").select("k", "p", F.when(F.col("part").isNotNull(), F.xxhash64("tag", "part")).alias("key"))
+    expected = {(r.k, r.p): r.key for r in df.collect()}
+    rows = spark.createDataFrame(list(enumerate(lines)), "k long, line string").withColumn("n", F.length("line"))
+    got = rows.select("k", F.posexplode(line_dedup.segment_keys("line", "n", edits)).alias("p", "key")).collect()
+    assert {(r.k, r.p): r.key for r in got} == expected
+
+
 @pytest.mark.parametrize("edits", [1, 2])
 def test_probes_find_every_near_line(spark, edits):
     rng = np.random.default_rng(edits)

@@ -43,15 +43,20 @@ def segment_keys(line: str, n: str, edits: int) -> F.Column:
     """Keys of all probes of a line, null where a substring would leave it.
 
     A line of m characters is split evenly into edits + 1 segments, longer ones last; the key
-    of a segment is a hash of m, its number and its characters.
+    of a segment is a hash of m, its number and its characters. Lines of at least edits characters.
     """
     parts, found = edits + 1, []
     for i, d, s in probes(edits):
-        size = f"cast((({n} - {d}) div {parts} + if({parts - i} <= ({n} - {d}) % {parts}, 1, 0)) as int)"
-        start = f"cast({i} * (({n} - {d}) div {parts}) + greatest(0, {i - parts} + ({n} - {d}) % {parts}) + {s} as int)"
-        found.append(f"named_struct('at', {start}, 'size', {size}, 'tag', cast({n} - {d} as bigint) * {parts} + {i})")
-    key = f"if(x.at >= 0 and x.at + x.size <= {n}, xxhash64(x.tag, substring({line}, x.at + 1, x.size)), null)"
-    return F.expr(f"transform(array({', '.join(found)}), x -> {key})")
+        # a shorter line's length is split into q characters a segment and r left over, which its last r segments get
+        start = f"x.q{d} * {i} + {s}" if i else f"{s}"
+        start += f" + greatest(0, x.r{d} - {parts - i})" if i > 1 else ""
+        size = f"x.q{d} + if(x.r{d} >= {parts - i}, 1, 0)" if i else f"x.q{d}"
+        key = f"xxhash64(x.tag + {i - parts * d}L, substring({line}, {start} + 1, {size}))"
+        inside = [f"{start} >= 0"] * (s < 0) + [f"{start} + {size} <= {n}"] * (s > d)
+        found.append(f"if({' and '.join(inside)}, {key}, null)" if inside else key)
+    # as the body of a lambda it is interpreted: generated code of so many keys is too long to be compiled to machine code
+    split = [f"'q{d}', cast(({n} - {d}) div {parts} as int), 'r{d}', cast(({n} - {d}) % {parts} as int)" for d in range(edits + 1)]
+    return F.expr(f"transform(array(named_struct({', '.join(split)}, 'tag', cast({n} as bigint) * {parts})), x -> array({', '.join(found)}))[0]")
 
 
 def letters(line: str) -> F.Column:
