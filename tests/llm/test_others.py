@@ -5,12 +5,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tideline.llm import hamming, lm_score, mixing, packing, quality, revisits, token_count
+from tideline.llm import common, hamming, lm_score, mixing, packing, quality, revisits, token_count
 
 SPACES = b" \t\n\x0b\x0c\r"
 
@@ -228,6 +230,20 @@ def test_learner_runs_once(spark, monkeypatch):
     assert 1 <= runs.value <= int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_groups_of_arrow_batches_are_made_once(monkeypatch):
+    """Groups that run over many batches are put together once, with the rows and the order that pandas batches give."""
+    rng = np.random.default_rng(4)
+    unit = np.sort(rng.integers(0, 6, 3_000))
+    rows = pd.DataFrame({"unit": unit, "group": unit // 2 * 2 + (rng.random(3_000) < 0.5), "token": [b"%d" % i for i in range(3_000)]}).sort_values(["unit", "group"], kind="stable", ignore_index=True)
+    cuts = [0, 0, *sorted(rng.integers(0, 3_000, 40).tolist()), 3_000]
+    parts = [rows.iloc[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+    want = [(tuple(map(int, k)), r.to_numpy().tolist()) for k, r in common.in_groups(parts, ["unit", "group"])]
+    monkeypatch.setattr(common.pd, "concat", None)  # none is needed
+    batches = [pa.RecordBatch.from_pandas(x, preserve_index=False) for x in parts]
+    got = [(tuple(map(int, k)), r.to_numpy().tolist()) for k, r in common.arrow_groups(batches, ["unit", "group"])]
+    assert got == want and len(got) > 6 and list(common.arrow_groups([], ["unit"])) == []
+
+
 def test_bits_of_all_words_are_a_distribution():
     """Over all bytes at one place, what the mixer spells sums to one: scores are probabilities."""
     code = lm_score.byte_code(np.arange(256.0))
